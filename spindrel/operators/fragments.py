@@ -23,6 +23,7 @@ from spindrel.runtime import checkpoint, task_count
 
 SPREAD = 4
 BUCKETS = 16
+ROWS_PER_TASK = 250_000
 
 #: Names of the columns that carry a row's fragment. The leading underscores keep them off user columns.
 TASK, KEY, SHARD = "__task", "__key", "__shard"
@@ -79,11 +80,11 @@ class FragmentPlan:
 def plan_fragments(df: DataFrame, key: Column, tasks: int | None = None) -> FragmentPlan:
     """Measure the load of each key of ``df`` and plan its fragments. An empty ``df`` gives a plan without heavy keys."""
     spark = df.sparkSession
-    tasks = tasks or task_count(spark)
     loads = checkpoint(
         df.where(key.isNotNull()).groupBy(key.cast("string").alias(KEY)).agg(F.count(F.lit(1)).alias("load"))
     )
     total = loads.agg(F.sum("load")).first()[0] or 0
+    tasks = tasks or max(task_count(spark), math.ceil(total / ROWS_PER_TASK))
     most = max(total / (tasks * SPREAD), 1.0)
     heavy = {r[0]: r[1] for r in loads.where(F.col("load") > most).collect()}  # < tasks * SPREAD rows
     buckets = tasks * BUCKETS
