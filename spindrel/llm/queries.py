@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrel.llm import cube, topn
+from spindrel.llm import cube, leaks, packing, topn
 from spindrel.plans.registry_queries import setting_samples
 from spindrel.runtime import fold, table
 
@@ -111,10 +111,38 @@ report as (select t.setting_id, t.grp, need::bigint need, coalesce(available, 0)
 """
 
 
+# --- problem 6: containers
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    """The container of every piece of every text."""
+    return packing.pack(table(spark, d, "documents"))
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    """Containers and unused space by bucket."""
+    return packing.packing_report(p6_containers(spark, d))
+
+
+# --- problem 7: leaked evaluation items
+
+
+def p7_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and items with a common or nearly common passage, how much and how alike."""
+    return leaks.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_item"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a window of an item word for word."""
+    return p7_passages(spark, d).where("n_exact > 0").select("doc_id", "item_id")
+
+
 def queries() -> dict:
     return {
         "p3_found": p3_found, "p3_ranked": p3_ranked,
         "p5_found": p5_found, "p5_sample": p5_sample, "p5_report": p5_report,
+        "p6_containers": p6_containers, "p6_report": p6_report,
+        "p7_found": p7_found, "p7_passages": p7_passages,
     }
 
 
