@@ -35,16 +35,20 @@ _OUT = "doc_id bigint, item_id bigint, n_windows bigint, n_exact bigint, similar
 
 
 def bit_sums(hashes: np.ndarray) -> np.ndarray:
-    """Running counts of set bits, modulo 256, with a leading row of zeros."""
+    """Running counts of set bits, with a leading row of zeros: eight counters of a byte in each number.
+
+    The counters overflow into each other, but differences of two rows are right in all of them as long as
+    no window is longer than 255 words.
+    """
     bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    out = np.zeros((len(hashes) + 1, 64), np.uint8)
-    np.cumsum(bits, axis=0, dtype=np.uint8, out=out[1:])
+    out = np.zeros((len(hashes) + 1, 8), np.uint64)
+    np.cumsum(bits.view(np.uint64), axis=0, out=out[1:])
     return out
 
 
 def simhashes(sums: np.ndarray, size: int) -> np.ndarray:
     """The SimHash of every window of ``size`` (up to 255) words: the bits set in more than half of them."""
-    counts = sums[size:] - sums[:-size]
+    counts = (sums[size:] - sums[:-size]).view(np.uint8)
     return np.packbits(counts > size // 2, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
@@ -65,7 +69,7 @@ class LeakIndex:
                 self.ids.append(item_id)
                 self.texts.append(w)
         hash_ = WordHash()
-        self.hashes = [np.fromiter(map(hash_.__getitem__, w), np.uint64) for w in self.texts]
+        self.hashes = [hash_.of([x.encode("utf-8", "surrogatepass") for x in w]) for w in self.texts]
         shingles = [{tuple(w[i : i + shingle]) for i in range(max(len(w) - shingle + 1, 1))} for w in self.texts]
         found_in = Counter(s for own in shingles for s in own)
         self.weight = {s: math.log(1 + len(self.texts) / n) for s, n in found_in.items()}

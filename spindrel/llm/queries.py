@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrel.llm import cube, leaks, packing, topn
+from spindrel.llm import cube, leaks, packing, prose, topn
 from spindrel.plans.registry_queries import setting_samples
 from spindrel.runtime import fold, table
 
@@ -137,12 +137,26 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_passages(spark, d).where("n_exact > 0").select("doc_id", "item_id")
 
 
+# --- problem 8: text quality
+
+
+def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of every document."""
+    return prose.text_statistics(table(spark, d, "documents"), table(spark, d, "common_word"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of which less than half is running prose."""
+    return p8_statistics(spark, d).where("prose_share < 0.5").select("doc_id")
+
+
 def queries() -> dict:
     return {
         "p3_found": p3_found, "p3_ranked": p3_ranked,
         "p5_found": p5_found, "p5_sample": p5_sample, "p5_report": p5_report,
         "p6_containers": p6_containers, "p6_report": p6_report,
         "p7_found": p7_found, "p7_passages": p7_passages,
+        "p8_found": p8_found, "p8_statistics": p8_statistics,
     }
 
 
