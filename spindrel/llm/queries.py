@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrel.llm import cube, leaks, packing, prose, topn
+from spindrel.llm import canonical, cube, leaks, packing, prose, topn
 from spindrel.plans.registry_queries import setting_samples
 from spindrel.runtime import fold, table
 
 DEFAULT_N = 50
 
 
+# --- problem 1: typed names to canonical types
+
+
+def _p1(spark: SparkSession, d: str) -> DataFrame:
+    types = table(spark, d, "kb_type")
+    names = types.select(F.explode(F.array("type_key", "display_name")).alias("cell_type_raw")).distinct()
+    typed = table(spark, d, "obs_annotated").select("row_id", "cell_type_raw").join(
+        F.broadcast(names.limit(2 * canonical.ENTRIES_MAX)), "cell_type_raw", "left_anti"
+    )  # longer lists are refused by map_rows
+    return canonical.map_rows(typed, "cell_type_raw", types)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The type that each typed name stands for, where it is not already the name in the list."""
+    return _p1(spark, d).select("row_id", "type_key")
+
+
+def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Typed names that stand for no entry, with their numbers of cells."""
+    return canonical.unmatched_report(_p1(spark, d), "cell_type_raw")
+
+
 # --- problem 3: top N per group
 
 
@@ -152,6 +174,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "p1_found": p1_found, "p1_unmatched": p1_unmatched,
         "p3_found": p3_found, "p3_ranked": p3_ranked,
         "p5_found": p5_found, "p5_sample": p5_sample, "p5_report": p5_report,
         "p6_containers": p6_containers, "p6_report": p6_report,
