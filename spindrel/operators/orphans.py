@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindrel.runtime import checkpoint
+
 RANGES_MAX = 65_536
 _FOREVER = np.iinfo(np.int64).max
 
@@ -70,10 +72,10 @@ def orphan_references(
     spark = refs.sparkSession
     r = refs.select(ref_id.cast("string").alias("rid"), ref_key.alias("key"), _micros(ref_at).alias("at")).where("key is not null")
     timeless = r.where("at is null").select("rid")
-    r = r.where("at is not null")
-    p = lives.select(
+    r = checkpoint(r.where("at is not null"))  # both sides are counted, measured by range and probed
+    p = checkpoint(lives.select(
         life_key.alias("key"), _micros(start).alias("start"), F.coalesce(_micros(end), F.lit(_FOREVER)).alias("end")
-    ).where("key is not null and start is not null and start < end").distinct()
+    ).where("key is not null and start is not null and start < end").distinct())
 
     n_refs, n_lives = r.count(), p.count()
     ranges = min(max(math.ceil((n_refs + n_lives) / target_rows), 1), RANGES_MAX)
