@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def midrank(value: Column | str, *by: str) -> Column:
@@ -36,7 +37,7 @@ def correlation(a: Column | str, b: Column | str) -> Column:
     return F.covar_pop(a, b) / F.when(spread > 0, spread)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     """Two-sided p-value of a normal score."""
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)) if v is not None and v == v else None)
