@@ -6,34 +6,36 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrel.operators.stats import benjamini_hochberg, correlation
 
-V = F.col("value").cast("double")
+
+def v() -> Column:
+    return F.col("value").cast("double")
 
 
 def size_factors(x: DataFrame) -> DataFrame:
     """Median of ratios: each sample against the geometric means of the genes that all samples have above zero."""
     n = x.select("sample").distinct().count()
-    logs = x.where("value > 0").withColumn("l", F.ln(V))
+    logs = x.where("value > 0").withColumn("l", F.ln(v()))
     ref = logs.groupBy("gene").agg(F.avg("l").alias("g"), F.count(F.lit(1)).alias("k")).where(F.col("k") == n)
     return logs.join(ref, "gene").groupBy("sample").agg(F.exp(F.median(F.col("l") - F.col("g"))).alias("size_factor"))
 
 
 def sample_flags(x: DataFrame, least_total: float, least_genes: int) -> DataFrame:
-    per = x.groupBy("sample").agg(F.sum(V).alias("total"), F.count_if(F.col("value") > 0).alias("n_genes"))
+    per = x.groupBy("sample").agg(F.sum(v()).alias("total"), F.count_if(F.col("value") > 0).alias("n_genes"))
     return per.withColumn("low_quality", (F.col("total") < least_total) | (F.col("n_genes") < least_genes))
 
 
 def expressed_genes(x: DataFrame, least_total: float) -> DataFrame:
-    return x.groupBy("gene").agg(F.sum(V).alias("total")).where(F.col("total") >= least_total)
+    return x.groupBy("gene").agg(F.sum(v()).alias("total")).where(F.col("total") >= least_total)
 
 
 def sample_correlation(x: DataFrame, genes: int) -> DataFrame:
     """Pearson correlation of ``log1p`` values of every pair of samples over all ``genes``, absent values being 0."""
-    log = x.select("sample", "gene", F.log1p(V).alias("v"))
+    log = x.select("sample", "gene", F.log1p(v()).alias("v"))
     own = log.groupBy("sample").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"))
     a, b = log.select(F.col("sample").alias("a"), "gene", F.col("v").alias("va")), log.select(F.col("sample").alias("b"), "gene", F.col("v").alias("vb"))
     dot = a.join(b, "gene").where("a < b").groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("dot"))
@@ -48,9 +50,9 @@ def batch_aligned(x: DataFrame, batches: DataFrame) -> DataFrame:
     """Each gene's mean and spread within a batch moved to those over all samples."""
     joined = x.join(batches, "sample")
     g, b = Window.partitionBy("gene"), Window.partitionBy("gene", "batch")
-    sd = lambda w: F.coalesce(F.stddev_pop(V).over(w), F.lit(0.0))
-    scaled = F.when(sd(b) > 0, (V - F.avg(V).over(b)) / F.when(sd(b) > 0, sd(b))).otherwise(0.0)
-    return joined.withColumn("aligned", scaled * sd(g) + F.avg(V).over(g))
+    sd = lambda w: F.coalesce(F.stddev_pop(v()).over(w), F.lit(0.0))
+    scaled = F.when(sd(b) > 0, (v() - F.avg(v()).over(b)) / F.when(sd(b) > 0, sd(b))).otherwise(0.0)
+    return joined.withColumn("aligned", scaled * sd(g) + F.avg(v()).over(g))
 
 
 def _wald(own: pd.DataFrame) -> pd.DataFrame:
@@ -81,7 +83,7 @@ def two_condition_test(x: DataFrame, samples: DataFrame, treated: str, control:
     chosen = samples.where(F.col("condition").isin(treated, control)).join(size_factors(x), "sample")
     chosen = chosen.select("sample", "size_factor", (F.col("condition") == treated).cast("double").alias("treated"))
     genes = x.select("gene").distinct()
-    full = genes.crossJoin(F.broadcast(chosen)).join(x.select("sample", "gene", F.bround(V).alias("value")), ["sample", "gene"], "left").na.fill(0.0, ["value"])
+    full = genes.crossJoin(F.broadcast(chosen)).join(x.select("sample", "gene", F.bround(v()).alias("value")), ["sample", "gene"], "left").na.fill(0.0, ["value"])
     fits = full.groupBy("gene").applyInPandas(_wald, "gene string, log2fc double, z double, p double")
     return benjamini_hochberg(fits, "p")
 

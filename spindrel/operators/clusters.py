@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from spindrel.operators.stats import midrank
 
-ALL = Window.partitionBy()
+
+def whole() -> WindowSpec:
+    return Window.partitionBy()
 
 
 def splitting_gain(grid: DataFrame) -> DataFrame:
@@ -33,8 +35,8 @@ def coherence(scores: DataFrame, sizes: DataFrame, dominance: float = 2.5, floor
 
 def composite(grid: DataFrame, weights: dict[str, float], least_range: float = 0.01) -> DataFrame:
     """Weighted sum of rank-normalised metrics; metrics without enough range count for nothing, the weights of the rest are scaled to 1."""
-    n = F.count(F.lit(1)).over(ALL)
-    used = {m: F.coalesce(F.max(m).over(ALL) - F.min(m).over(ALL) >= least_range, F.lit(False)) for m in weights}
+    n = F.count(F.lit(1)).over(whole())
+    used = {m: F.coalesce(F.max(m).over(whole()) - F.min(m).over(whole()) >= least_range, F.lit(False)) for m in weights}
     total = sum((F.when(used[m], F.lit(w)).otherwise(0.0) for m, w in weights.items()), F.lit(0.0))
     norm = {m: F.when(n > 1, (midrank(m) - 1) / (n - 1)).otherwise(0.5) for m in weights}
     score = sum((F.when(used[m], norm[m] * w).otherwise(0.0) for m, w in weights.items()), F.lit(0.0))
@@ -45,7 +47,7 @@ def pareto_elbow(grid: DataFrame, k: str = "n_clusters", s: str = "silhouette")
     """Points with no other of fewer clusters and a better score; ``distance`` to the ideal corner and the ``chosen`` one."""
     before = Window.orderBy(k, F.desc(s)).rowsBetween(Window.unboundedPreceding, -1)
     front = grid.withColumn("__best", F.max(s).over(before)).where(F.col("__best").isNull() | (F.col(s) > F.col("__best"))).drop("__best")
-    scaled = lambda c: (F.col(c) - F.min(c).over(ALL)) / (F.max(c).over(ALL) - F.min(c).over(ALL) + 1e-10)
+    scaled = lambda c: (F.col(c) - F.min(c).over(whole())) / (F.max(c).over(whole()) - F.min(c).over(whole()) + 1e-10)
     out = front.withColumn("distance", F.sqrt(F.pow(1 - scaled(s), 2) + F.pow(scaled(k), 2)))
     return out.withColumn("chosen", F.row_number().over(Window.orderBy("distance", k)) == 1)
 

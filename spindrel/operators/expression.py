@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindrel.operators import matrix, stats
 
-V = F.col("value").cast("double")
+
+def v() -> Column:
+    return F.col("value").cast("double")
 
 
 def rank_genes(x: DataFrame, labels: DataFrame) -> DataFrame:
@@ -18,7 +20,7 @@ def rank_genes(x: DataFrame, labels: DataFrame) -> DataFrame:
     labels = labels.where("grp is not null")
     ranked = stats.rank_sums(x, labels)
     sizes = labels.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    inside = x.join(labels, "cell_id").groupBy("grp", "gene_id").agg(F.sum(V).alias("s"), F.count_if(F.col("value") > 0).alias("k"))
+    inside = x.join(labels, "cell_id").groupBy("grp", "gene_id").agg(F.sum(v()).alias("s"), F.count_if(F.col("value") > 0).alias("k"))
     whole = inside.groupBy("gene_id").agg(F.sum("s").alias("s_all"), F.sum("k").alias("k_all"))
     total = sizes.agg(F.sum("n").alias("n_all"))
     t = ranked.join(inside, ["grp", "gene_id"], "left").na.fill({"s": 0.0, "k": 0}).join(whole, "gene_id").crossJoin(F.broadcast(total))
@@ -53,7 +55,7 @@ def stage_trends(x: DataFrame, obs: DataFrame, least_cells: int = 50, least_per_
     per_type = Window.partitionBy("type")
     usable = usable.withColumn("__k", F.count(F.lit(1)).over(per_type)).withColumn("__n", F.sum("n").over(per_type))
     usable = usable.where((F.col("__k") >= least_stages) & (F.col("__n") >= least_cells)).select("type", "stage", "n")
-    sums = x.join(obs, "cell_id").groupBy("type", "gene_id", "stage").agg(F.sum(V).alias("s"))
+    sums = x.join(obs, "cell_id").groupBy("type", "gene_id", "stage").agg(F.sum(v()).alias("s"))
     genes = sums.select("type", "gene_id").distinct()
     means = genes.join(usable, "type").join(sums, ["type", "gene_id", "stage"], "left").withColumn("mean", F.coalesce("s", F.lit(0.0)) / F.col("n"))
     return stats.spearman(means, "mean", "stage", "type", "gene_id")
@@ -87,7 +89,7 @@ def differential_accessibility(peaks: DataFrame, labels: DataFrame, bins: int =
     Values are ``log1p`` of counts per ten thousand on both sides. The background of a group are at most
     ``background / bins`` cells of every depth bin outside it, by a hash of the cell and the group.
     """
-    depth = peaks.groupBy("cell_id").agg(F.sum(V).alias("depth")).join(labels, "cell_id")
+    depth = peaks.groupBy("cell_id").agg(F.sum(v()).alias("depth")).join(labels, "cell_id")
     cuts = depth.agg(F.percentile("depth", F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("cuts"))
     binned = depth.crossJoin(F.broadcast(cuts)).withColumn("bin", F.size(F.filter("cuts", lambda c: F.col("depth") > c)))
     groups = labels.select(F.col("grp").alias("target")).distinct()
@@ -96,7 +98,7 @@ def differential_accessibility(peaks: DataFrame, labels: DataFrame, bins: int =
     drawn = others.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= background // bins).select("target", "cell_id")
     norm = matrix.normalise(peaks)
     side = lambda cells, by: cells.groupBy(by).agg(F.count(F.lit(1)).alias("n")).join(
-        norm.join(cells, "cell_id").groupBy(by, "gene_id").agg(F.sum(V).alias("s")), by
+        norm.join(cells, "cell_id").groupBy(by, "gene_id").agg(F.sum(v()).alias("s")), by
     ).select(F.col(by).alias("grp"), "gene_id", (F.col("s") / F.col("n")).alias("mean"))
     inside = side(labels, "grp").withColumnRenamed("mean", "mean_in")
     outside = side(drawn, "target").withColumnRenamed("mean", "mean_out")

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-V = F.col("value").cast("double")
+
+def v() -> Column:
+    return F.col("value").cast("double")
 
 
 def cell_metrics(x: DataFrame, mt: Column, ribo: Column, top: int = 20) -> DataFrame:
@@ -22,10 +24,10 @@ def cell_metrics(x: DataFrame, mt: Column, ribo: Column, top: int = 20) -> DataF
     ranked = x.withColumn("__rank", F.row_number().over(largest))
     agg = ranked.groupBy("cell_id").agg(
         F.count(F.lit(1)).alias("n_genes"),
-        F.sum(V).alias("total"),
-        F.sum(F.when(mt, V).otherwise(0.0)).alias("mt"),
-        F.sum(F.when(ribo, V).otherwise(0.0)).alias("ribo"),
-        F.sum(F.when(F.col("__rank") <= top, V).otherwise(0.0)).alias("top"),
+        F.sum(v()).alias("total"),
+        F.sum(F.when(mt, v()).otherwise(0.0)).alias("mt"),
+        F.sum(F.when(ribo, v()).otherwise(0.0)).alias("ribo"),
+        F.sum(F.when(F.col("__rank") <= top, v()).otherwise(0.0)).alias("top"),
     )
     share = lambda c: F.try_divide(F.col(c) * 100, "total")
     log_total = F.when(F.col("total") > 1, F.log10("total"))
@@ -40,16 +42,16 @@ def gene_metrics(x: DataFrame, n_cells: int | Column) -> DataFrame:
     n = F.lit(n_cells) if isinstance(n_cells, int) else n_cells
     return x.groupBy("gene_id").agg(
         F.count_if(F.col("value") > 0).alias("n_cells"),
-        F.sum(V).alias("total"),
-        (F.sum(V) / F.max(n)).alias("mean"),
+        F.sum(v()).alias("total"),
+        (F.sum(v()) / F.max(n)).alias("mean"),
         ((1 - F.count_if(F.col("value") > 0) / F.max(n)) * 100).alias("pct_dropout"),
     )
 
 
 def normalise(x: DataFrame, target: float = 1e4, log: bool = True) -> DataFrame:
     """Values scaled so that every cell sums to ``target``, then ``log1p``; a cell that sums to zero stays as it is."""
-    total = F.sum(V).over(Window.partitionBy("cell_id"))
-    scaled = V * target / F.when(total == 0, 1.0).otherwise(total)
+    total = F.sum(v()).over(Window.partitionBy("cell_id"))
+    scaled = v() * target / F.when(total == 0, 1.0).otherwise(total)
     return x.withColumn("value", F.log1p(scaled) if log else scaled)
 
 
@@ -59,21 +61,21 @@ def group_means(x: DataFrame, labels: DataFrame, log: bool = True) -> DataFrame:
     ``labels(cell_id, grp)``; cells without a label are left out. Pairs without any stored value are absent.
     """
     sizes = labels.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    sums = x.join(labels.where("grp is not null"), "cell_id").groupBy("grp", "gene_id").agg(F.sum(V).alias("s"))
+    sums = x.join(labels.where("grp is not null"), "cell_id").groupBy("grp", "gene_id").agg(F.sum(v()).alias("s"))
     mean = F.col("s") / F.col("n")
     return sums.join(sizes, "grp").select("grp", "gene_id", (F.log1p(mean) if log else mean).alias("mean"))
 
 
 def group_sums(x: DataFrame, labels: DataFrame, by: list[str]) -> DataFrame:
     """Pseudobulk: summed values, cells with any and stored pairs per combination of labels and gene."""
-    return x.join(labels, "cell_id").groupBy(*by, "gene_id").agg(F.sum(V).alias("total"), F.count(F.lit(1)).alias("n_cells"))
+    return x.join(labels, "cell_id").groupBy(*by, "gene_id").agg(F.sum(v()).alias("total"), F.count(F.lit(1)).alias("n_cells"))
 
 
 def moments(x: DataFrame, n_cells: int) -> DataFrame:
     """Mean and sample variance of each gene over all cells, from the sums of values and squares."""
-    mean = F.sum(V) / n_cells
+    mean = F.sum(v()) / n_cells
     return x.groupBy("gene_id").agg(
-        mean.alias("mean"), ((F.sum(V * V) - F.sum(V) * F.sum(V) / n_cells) / max(n_cells - 1, 1)).alias("variance")
+        mean.alias("mean"), ((F.sum(v() * v()) - F.sum(v()) * F.sum(v()) / n_cells) / max(n_cells - 1, 1)).alias("variance")
     )
 
 
@@ -93,7 +95,7 @@ def score_set(x: DataFrame, n_cells: int, genes: list[str], bins: int = 25) -> D
     chosen = binned.where("in_set").select("gene_id", "in_set").unionByName(control)
     n_set, n_control = (F.sum(F.col("in_set").cast("int")), F.sum((~F.col("in_set")).cast("int")))
     sizes = chosen.agg(n_set.alias("n_set"), n_control.alias("n_control"))
-    part = lambda flag, n: F.coalesce(F.try_divide(F.sum(F.when(flag, V).otherwise(0.0)), F.max(n)), F.lit(0.0))
+    part = lambda flag, n: F.coalesce(F.try_divide(F.sum(F.when(flag, v()).otherwise(0.0)), F.max(n)), F.lit(0.0))
     return x.join(F.broadcast(chosen), "gene_id").crossJoin(F.broadcast(sizes)).groupBy("cell_id").agg(
         (part(F.col("in_set"), "n_set") - part(~F.col("in_set"), "n_control")).alias("score")
     )
@@ -107,12 +109,12 @@ def best_label(scores: DataFrame, key: str, label: str = "label", score: str = "
 
 def pearson_residuals(x: DataFrame, theta: float = 100.0, clip: float | None = None) -> DataFrame:
     """Analytic residuals ``(v - mu) / sqrt(mu + mu^2 / theta)`` of the stored values."""
-    cell = F.sum(V).over(Window.partitionBy("cell_id"))
-    genes = x.groupBy("gene_id").agg(F.sum(V).alias("__gene"))
-    total = x.agg(F.sum(V).alias("__total"))
+    cell = F.sum(v()).over(Window.partitionBy("cell_id"))
+    genes = x.groupBy("gene_id").agg(F.sum(v()).alias("__gene"))
+    total = x.agg(F.sum(v()).alias("__total"))
     with_sums = x.withColumn("__cell", cell).join(genes, "gene_id").crossJoin(F.broadcast(total))
     mu = F.col("__cell") * F.col("__gene") / F.col("__total")
-    r = (V - mu) / F.sqrt(mu + mu * mu / theta)
+    r = (v() - mu) / F.sqrt(mu + mu * mu / theta)
     return with_sums.select("cell_id", "gene_id", (F.greatest(F.least(r, F.lit(clip)), F.lit(-clip)) if clip else r).alias("residual"))
 
 
@@ -123,10 +125,10 @@ def regress_out(x: DataFrame, covariate: DataFrame) -> DataFrame:
     """
     c = covariate.agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("sc"), F.sum(F.col("c") * F.col("c")).alias("scc"))
     joined = x.join(covariate, "cell_id")
-    sums = joined.groupBy("gene_id").agg(F.sum(V).alias("sv"), F.sum(V * F.col("c")).alias("scv")).crossJoin(F.broadcast(c))
+    sums = joined.groupBy("gene_id").agg(F.sum(v()).alias("sv"), F.sum(v() * F.col("c")).alias("scv")).crossJoin(F.broadcast(c))
     slope = F.coalesce(F.try_divide(F.expr("n * scv - sc * sv"), F.expr("n * scc - sc * sc")), F.lit(0.0))
     lines = sums.withColumn("slope", slope).select("gene_id", "slope", F.expr("(sv - slope * sc) / n").alias("intercept"))
-    return joined.join(lines, "gene_id").select("cell_id", "gene_id", (V - F.col("intercept") - F.col("slope") * F.col("c")).alias("residual"))
+    return joined.join(lines, "gene_id").select("cell_id", "gene_id", (v() - F.col("intercept") - F.col("slope") * F.col("c")).alias("residual"))
 
 
 def repaired(df: DataFrame, columns: list[str]) -> DataFrame:

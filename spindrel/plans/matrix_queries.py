@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindrel.operators import matrix, quality, sampling
@@ -13,7 +13,12 @@ BOOK = Book(roles.SQL)
 queries, oracle_sql = BOOK.queries, BOOK.oracle_sql
 query = BOOK.query
 
-MT, RIBO = F.col("gene_id") == "Brand#1", F.col("gene_id").startswith("Brand#2")
+
+def gene_sets() -> tuple[Column, Column]:
+    """One brand in the role of mitochondrial genes, some in that of ribosomal ones."""
+    return F.col("gene_id") == "Brand#1", F.col("gene_id").startswith("Brand#2")
+
+
 R = 6
 _METRICS = """m as (select cell_id, count(*) n_genes, sum("value") total, sum(case when gene_id = 'Brand#1' then "value" else 0 end) mt,
   sum(case when starts_with(gene_id, 'Brand#2') then "value" else 0 end) ribo, sum(case when k <= 2 then "value" else 0 end) top2
@@ -28,7 +33,7 @@ def _round(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, d: str) -> DataFrame:
-    return matrix.cell_metrics(roles.counts(spark, d), MT, RIBO, top=2)
+    return matrix.cell_metrics(roles.counts(spark, d), *gene_sets(), top=2)
 
 
 @query(_METRICS + """select cell_id, n_genes, total, round(log1p_total, 6) log1p_total, round(pct_mt, 6) pct_mt,
@@ -188,7 +193,7 @@ def expected_doublet_rate(spark, d):
 def top_genes_per_group(spark, d):
     """Quality control, filter, normalisation, pseudobulk and the five strongest genes of each group."""
     x = roles.counts(spark, d)
-    kept = quality.keep_cells(matrix.cell_metrics(x, MT, RIBO, top=2), quality.Limits(min_genes=2))
+    kept = quality.keep_cells(matrix.cell_metrics(x, *gene_sets(), top=2), quality.Limits(min_genes=2))
     norm = matrix.normalise(x.join(kept.select("cell_id"), "cell_id", "left_semi"))
     labels = roles.cells(spark, d).select("cell_id", F.col("cluster").alias("grp"))
     means = matrix.group_means(norm, labels)

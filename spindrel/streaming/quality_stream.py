@@ -34,7 +34,8 @@ def run_to_table(spark: SparkSession, path: str, schema, width: str) -> DataFram
     """
     checkpoint(spark.range(1))  # sets a folder where there is none, as in tests
     folder = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
-    stream = windowed(spark.readStream.schema(schema).parquet(path), width)
+    pattern = f"{path[:-1]}[{path[-1]}]"  # as a pattern, as a plain path has to be a folder
+    stream = windowed(spark.readStream.schema(schema).parquet(pattern), width)
     write = lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/table")
     query = (
         stream.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/state")
