@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spindrel.runtime import strip
+
 
 def soft_fields(spark: SparkSession, path: str) -> DataFrame:
     """``key, value`` of a series' metadata file, in lines of the form ``!key = value``."""
@@ -43,7 +45,7 @@ def markdown_sections(text: Column) -> Column:
     parts = F.split(F.concat(F.lit("\n"), text), r"(?m)^#{1,6}\s+")
     whole = F.transform(parts, lambda p, i: F.struct(
         F.when(i > 0, F.trim(F.regexp_extract(p, r"^[^\n]*", 0))).alias("heading"),
-        F.trim(F.when(i > 0, F.regexp_replace(p, r"^[^\n]*\n?", "")).otherwise(p)).alias("body"),
+        strip(F.when(i > 0, F.regexp_replace(p, r"^[^\n]*\n?", "")).otherwise(p)).alias("body"),
     ))
     return F.filter(whole, lambda s: s["heading"].isNotNull() | (s["body"] != ""))
 
