@@ -331,13 +331,13 @@ def map_values(values: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def map_rows(rows: DataFrame, value: str, entries: DataFrame) -> DataFrame:
-    """``rows`` with the added column ``type_key``: the entry each value names, or ``unmatched``.
+    """``rows`` with the column ``type_key``, added or replaced: the entry each value names, or ``unmatched``.
 
     Rows with a null or blank value are left out. Values are mapped once each. The mapping is broadcast if its size,
     which is counted first, is small; else it is joined by a shuffle in which a frequent value is split.
     A list without entries leaves everything unmatched.
     """
-    given = rows.where(filled(value))
+    given = rows.drop("type_key").where(filled(value))
     distinct = given.groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     mapping = checkpoint(map_values(distinct.repartition("value"), entries))
     size = mapping.agg(F.sum(F.length("value") + F.length("type_key"))).first()[0] or 0

@@ -186,6 +186,7 @@ def cube_sample(
         .groupBy(KEY).agg(F.sum("n").alias("n"))
     )
     zero = F.lit(0).cast("bigint")
+    units = units.select("setting_id", "category", "unit", "most", "seed")
     uses = units.join(targets.select("setting_id", "category", "need"), ["setting_id", "category"]).join(
         sizes.withColumnRenamed(KEY, "unit"), "unit"
     )

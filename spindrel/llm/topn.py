@@ -17,6 +17,8 @@ from spindrel.runtime import checkpoint, task_count
 
 PART_ROWS = 100_000
 _BINS_PER_UNIT = 64
+#: Names of columns in between; no input column may begin with this prefix.
+LIMIT, BIN, N, LEAST, ABOVE, PARTS, PART, RANK = (f"__spindrel_{x}" for x in "limit bin n least above parts part rank".split())
 
 
 def top_per_group(
@@ -32,48 +34,42 @@ def top_per_group(
 
     ``limit`` is a column that is constant within a group; null or below 1 keeps nothing. Rows with a null
     or NaN score, or a null group column, do not rank. ``part_key`` spreads a group's rows and should
-    differ between them. The order is total, and the result the same in every run, if score and ties
-    together tell rows apart.
+    differ between them. All columns of ``items`` come back; one named ``rank`` is replaced. The order is total, and the result the same in every run, if score and ties
+    together tell rows apart. An empty table gives an empty result.
     """
     alive = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
     for g in group:
         alive &= F.col(g).isNotNull()
-    rows = items.where(alive).withColumn("__limit", limit.cast("bigint")).where("__limit > 0")
+    rows = items.where(alive).withColumn(LIMIT, limit.cast("bigint")).where(F.col(LIMIT) > 0)
 
     # Any bin will do, as what is compared in the end is the least score within it.
     x = F.col(score).cast("double")
     bin_ = F.floor(F.signum(x) * F.ln(1 + F.least(F.abs(x), F.lit(1e300))) * _BINS_PER_UNIT)
     histogram = checkpoint(
-        rows.groupBy(*group, bin_.alias("bin")).agg(
-            F.count(F.lit(1)).alias("n"), F.min(x).alias("least"), F.max("__limit").alias("__limit")
-        )
+        rows.groupBy(*group, bin_.alias(BIN)).agg(F.count(F.lit(1)).alias(N), F.min(x).alias(LEAST), F.max(LIMIT).alias(LIMIT))
     )
-    down = Window.partitionBy(*group).orderBy(F.desc("bin"))
-    counted = histogram.withColumn("above", F.sum("n").over(down) - F.col("n"))
-    thresholds = counted.where(F.col("above") < F.col("__limit")).groupBy(*group).agg(F.min("least").alias("__least"))
+    down = Window.partitionBy(*group).orderBy(F.desc(BIN))
+    counted = histogram.withColumn(ABOVE, F.sum(N).over(down) - F.col(N))
+    thresholds = counted.where(F.col(ABOVE) < F.col(LIMIT)).groupBy(*group).agg(F.min(LEAST).alias(LEAST))
 
-    total = histogram.agg(F.sum("n")).first()[0] or 0
+    total = histogram.agg(F.sum(N)).first()[0] or 0
     most = max(part_rows, total // (task_count(items.sparkSession) * 16))
     large = (
-        histogram.groupBy(*group).agg(F.sum("n").alias("n")).where(F.col("n") > most)
-        .select(*group, F.ceil(F.col("n") / most).cast("int").alias("__parts"))
+        histogram.groupBy(*group).agg(F.sum(N).alias(N)).where(F.col(N) > most)
+        .select(*group, F.ceil(F.col(N) / most).cast("int").alias(PARTS))
     )  # fewer than 16 groups for each task, as their sizes add up to the total at most
-    one = F.lit(1)
-    parts = F.coalesce("__parts", one)
-    rows = rows.join(F.broadcast(large), group, "left").withColumn(
-        "__part", F.pmod(F.xxhash64(part_key, F.lit(31)), parts).cast("int")
-    )
+    parts = F.coalesce(PARTS, F.lit(1))
+    rows = rows.join(F.broadcast(large), group, "left").withColumn(PART, F.pmod(F.xxhash64(part_key, F.lit(31)), parts).cast("int"))
     thresholds = thresholds.join(F.broadcast(large), group, "left").select(
-        *group, "__least", F.explode(F.sequence(F.lit(0), parts - 1)).alias("__part")
+        *group, LEAST, F.explode(F.sequence(F.lit(0), parts - 1)).alias(PART)
     )
-    kept = rows.drop("__parts").join(thresholds, [*group, "__part"]).where(x >= F.col("__least")).drop("__least")
+    kept = rows.drop(PARTS).join(thresholds, [*group, PART]).where(x >= F.col(LEAST)).drop(LEAST)
     order = [F.desc(score), *ties]
-    in_part = F.row_number().over(Window.partitionBy(*group, "__part").orderBy(*order))
+    in_part = F.row_number().over(Window.partitionBy(*group, PART).orderBy(*order))
     in_group = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return (
-        kept.withColumn("__rank", in_part).where("__rank <= __limit").withColumn("rank", in_group)
-        .where("rank <= __limit").drop("__part", "__rank", "__limit")
-    )
+    first = kept.withColumn(RANK, in_part).where(F.col(RANK) <= F.col(LIMIT)).drop(RANK)
+    ranked = first.withColumn(RANK, in_group).where(F.col(RANK) <= F.col(LIMIT))
+    return ranked.select(*[c for c in items.columns if c != "rank"], F.col(RANK).alias("rank"))
 
 
 def latest(df: DataFrame, key: list[str], at: str, tie: str, keep: list[str]) -> DataFrame:
