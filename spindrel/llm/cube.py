@@ -97,7 +97,8 @@ def _seed(*parts: object) -> np.random.Generator:
 
 
 def _frame(setting: list, category: list, unit: list, item: list, p: list) -> pd.DataFrame:
-    return pd.DataFrame({"setting_id": np.asarray(setting, "int64"), "category": category, "unit": unit, "item": item, "p": np.asarray(p, "float64")})
+    text = lambda x: np.array(x, object)
+    return pd.DataFrame({"setting_id": np.array(setting, "int64"), "category": text(category), "unit": text(unit), "item": text(item), "p": np.array(p, "float64")})
 
 
 def _first(items: pd.DataFrame, plans: pd.DataFrame) -> pd.DataFrame:

@@ -179,7 +179,7 @@ def prose_mask(ids: np.ndarray, structured: np.ndarray, bonus: np.ndarray, doc:
     variety = np.bitwise_count(_window_or(bits, HALF)[place - HALF])
     s = np.concatenate([[0], np.cumsum(structured)])
     asked = np.where((s[hi] - s[lo]) * 2 > width, RATE_STRUCTURED, RATE_LOW)
-    mask = (rate >= asked) & (rate <= RATE_HIGH) & (variety >= np.where(width < 14, 2, VARIETY))
+    mask = (rate >= asked) & (rate <= RATE_HIGH) & (variety >= np.where(high - low < 14, 2, VARIETY))
     near_lo, near_hi = np.maximum(at - 3, low), np.minimum(at + 4, high)
     soup = total[near_hi] - total[near_lo] > 0.8 * (near_hi - near_lo)
     evidence = np.concatenate([[0], np.cumsum(np.where(soup, _SOUP, np.where(common, *_LLR)))])

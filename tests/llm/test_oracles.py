@@ -1,0 +1,31 @@
+"""Queries of the llm subpackage against their SQL on the smallest tables."""
+
+import compare
+import pytest
+from conftest import DATA
+
+from spindrel.llm import queries as plans
+
+SQL = plans.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return compare.connect(DATA)
+
+
+@pytest.mark.parametrize("name", plans.queries())
+def test_query(spark, duck, name):
+    said = compare.compare(spark, duck, DATA, name, SQL.get(name))
+    assert said.startswith(("ok", "rows")), said
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("p1_found", {"row_id", "type_key"}), ("p3_found", {"dataset_id", "group_label", "names"}), ("p5_found", {"setting_id", "grp"}),
+        ("p7_found", {"doc_id", "item_id"}), ("p8_found", {"doc_id"}),
+    ],
+)
+def test_columns(spark, name, columns):
+    assert set(plans.queries()[name](spark, DATA).columns) == columns
