@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spindrel.runtime import checkpoint
+
 
 def _near(points: DataFrame, radius: float) -> DataFrame:
     """Ordered pairs within ``radius``, through a grid of squares of that width and the eight around each."""
@@ -22,29 +26,29 @@ def radius_graph(points: DataFrame, radius: float) -> DataFrame:
     return _near(points, radius)
 
 
-def nearest_graph(points: DataFrame, k: int, radius: float) -> DataFrame:
+def nearest_graph(points: DataFrame, k: int, radius: float | None = None) -> DataFrame:
     """The ``k`` nearest spots of each, exact: the search radius doubles for spots that have not found enough.
 
-    Spots that fewer than ``k`` others share the plane with get all of them.
+    The first radius holds about three times ``k`` spots at the mean density unless it is given. Spots that fewer
+    than ``k`` others share the plane with get all of them. What each round finds goes to the checkpoint folder.
     """
-    n = points.count()
-    want = min(k, max(n - 1, 0))
+    box = points.agg(F.count(F.lit(1)), F.max("px") - F.min("px"), F.max("py") - F.min("py")).first()
+    n, width, height = box[0], box[1] or 0.0, box[2] or 0.0
+    want, span = min(k, max(n - 1, 0)), math.hypot(width, height)
+    radius = radius or math.sqrt(3 * k * width * height / (math.pi * max(n, 1))) or span or 1.0
     order = Window.partitionBy("src").orderBy("distance", "dst")
-    box = points.agg(F.max("px") - F.min("px"), F.max("py") - F.min("py")).first()
-    span = ((box[0] or 0.0) ** 2 + (box[1] or 0.0) ** 2) ** 0.5
     out, todo = None, None
     while want:
         near = _near(points, radius)
         if todo is not None:
             near = near.join(todo, "src", "left_semi")
-        ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= want)
-        enough = ranked.groupBy("src").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= want).select("src")
+        ranked = checkpoint(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= want))
+        enough = ranked.where(F.col("rank") == want).select("src")
         done = ranked.join(enough, "src", "left_semi")
         out = done if out is None else out.unionByName(done)
         if radius >= span:
             break
-        rest = points.select(F.col("id").alias("src")) if todo is None else todo
-        todo = rest.join(enough, "src", "left_anti")
+        todo = checkpoint((points.select(F.col("id").alias("src")) if todo is None else todo).join(enough, "src", "left_anti"))
         if todo.isEmpty():
             break
         radius *= 2

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from spindrel.runtime import checkpoint
+
 
 def midrank(value: Column | str, *by: str) -> Column:
     """Rank with ties averaged, within the partition ``by``."""
@@ -43,33 +45,39 @@ def normal_two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)) if v is not None and v == v else None)
 
 
-def rank_sums(x: DataFrame, labels: DataFrame) -> DataFrame:
+def rank_sums(x: DataFrame, labels: DataFrame, buckets: int = 16) -> DataFrame:
     """Wilcoxon rank sums of each gene for each group against the rest, without making zeros real.
 
     Values are not negative. The zeros of a gene are one block of ties at the bottom: with ``z`` of them a
     stored value's rank is ``z`` plus its rank among the stored ones. Result: ``grp, gene_id, n, rank_sum, z``
     with the tie-corrected normal score (0 where it is undefined). Only genes with a stored value come out.
+
+    Equal values of a group are one row before they are sorted. A gene is sorted in ``buckets`` parts between
+    approximate quantiles, each part's ranks begin where the counts of the lower parts end, so that no task
+    holds a whole gene.
     """
     labels = labels.where("grp is not null")
     sizes = labels.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     total = labels.agg(F.count(F.lit(1)).alias("n_all"))
-    stored = x.where("value > 0").join(labels, "cell_id")
-    per_gene = stored.groupBy("gene_id").agg(F.count(F.lit(1)).alias("nnz"))
-    ties = stored.groupBy("gene_id", "value").agg(F.count(F.lit(1)).alias("t"))
-    # Ranks of distinct values from their counts: one row for each value, not for each cell.
-    below = F.sum("t").over(Window.partitionBy("gene_id").orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
-    ranks = ties.select("gene_id", "value", (F.coalesce(below, F.lit(0)) + (F.col("t") + 1) / 2).alias("rank"))
-    cube = ties.groupBy("gene_id").agg(F.sum(F.expr("cast(t as double) * t * t - t")).alias("tie_sum"))
-    sums = (
-        stored.groupBy("grp", "gene_id", "value").agg(F.count(F.lit(1)).alias("c")).join(ranks, ["gene_id", "value"])
-        .groupBy("grp", "gene_id").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("rank")).alias("r"))
-    )
-    grid = per_gene.join(cube, "gene_id").crossJoin(F.broadcast(sizes)).crossJoin(F.broadcast(total))  # genes x groups
-    full = grid.join(sums, ["grp", "gene_id"], "left").na.fill({"m": 0, "r": 0.0}).withColumn("zeros", F.col("n_all") - F.col("nnz"))
+    counts = checkpoint(x.where("value > 0").join(labels, "cell_id").groupBy("gene_id", "value", "grp").agg(F.count(F.lit(1)).alias("c")))
+    at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = counts.groupBy("gene_id").agg(F.percentile_approx("value", at, F.lit(1000)).alias("cuts"))
+    parts = counts.join(cuts, "gene_id").withColumn("part", F.size(F.filter("cuts", lambda q: q < F.col("value")))).drop("cuts")
+    below = F.sum("k").over(Window.partitionBy("gene_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = parts.groupBy("gene_id", "part").agg(F.sum("c").alias("k")).select("gene_id", "part", F.coalesce(below, F.lit(0)).alias("offset"))
+    upto = F.sum("c").over(Window.partitionBy("gene_id", "part").orderBy("value").rangeBetween(Window.unboundedPreceding, 0))
+    ties = F.sum("c").over(Window.partitionBy("gene_id", "part", "value"))
+    ranked = parts.withColumn("t", ties).withColumn("upto", upto).join(offsets, ["gene_id", "part"])
+    rank = F.col("offset") + F.col("upto") - F.col("t") + (F.col("t") + 1) / 2
+    t = F.col("t").cast("double")
+    sums = ranked.groupBy("grp", "gene_id").agg(F.sum("c").alias("m"), F.sum(F.col("c") * rank).alias("r"), F.sum(F.col("c") * (t * t - 1)).alias("ties"))
+    per_gene = sums.groupBy("gene_id").agg(F.sum("m").alias("nnz"), F.sum("ties").alias("tie_sum"))
+    grid = per_gene.crossJoin(F.broadcast(sizes)).crossJoin(F.broadcast(total))  # genes x groups
+    full = grid.join(sums.drop("ties"), ["grp", "gene_id"], "left").na.fill({"m": 0, "r": 0.0}).withColumn("zeros", F.col("n_all") - F.col("nnz"))
     rank_sum = F.expr("r + m * zeros + (n - m) * (1 + zeros) / 2.0")
     tie = F.expr("1 - (tie_sum + cast(zeros as double) * zeros * zeros - zeros) / (cast(n_all as double) * n_all * n_all - n_all)")
     full = full.withColumn("rank_sum", rank_sum).withColumn("__tie", tie)
-    sigma = F.sqrt(F.col("__tie") * F.expr("cast(n as double) * (n_all - n) * (n_all + 1) / 12"))
+    sigma = F.sqrt(F.greatest(F.lit(0.0), F.col("__tie")) * F.expr("cast(n as double) * (n_all - n) * (n_all + 1) / 12"))
     z = F.coalesce(F.try_divide(F.expr("rank_sum - n * (n_all + 1) / 2.0"), F.when(sigma > 0, sigma)), F.lit(0.0))
     return full.select("grp", "gene_id", "n", "rank_sum", z.alias("z"))
 

@@ -193,7 +193,7 @@ def radius_graph(spark, d):
 @query("""sp as (select vec_id id, embedding[1]::double px, embedding[2]::double py from embeddings), eg as (select a.id src, b.id dst, sqrt(pow(a.px - b.px, 2) + pow(a.py - b.py, 2)) distance from sp a join sp b on a.id <> b.id)
  select src, dst, row_number() over (partition by src order by distance, dst) as rank from eg qualify rank <= 6""")
 def nearest_graph(spark, d):
-    return spatial.nearest_graph(_spots(spark, d), 6, 0.03).select("src", "dst", F.col("rank").cast("bigint").alias("rank"))
+    return spatial.nearest_graph(_spots(spark, d), 6).select("src", "dst", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query(_SPOTS + """, v as (select id, 'px' feature, px v from sp union all select id, 'label', label::double from sp), z as (select id, feature, v - avg(v) over (partition by feature) z from v),
