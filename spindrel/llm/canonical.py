@@ -42,7 +42,9 @@ _SHORT = {"a": "alpha", "b": "beta", "g": "gamma"}
 _SWITCH = ("on", "off")
 _TYPE = ("type", "subtype", "t")
 
-_CLUSTER = re.compile(r"\b(?:cluster|clust|cl|leiden|group|grp)[\s._=:#-]*\d+\b|^\W*\d+\s*[:=]|\bc\d+\b", re.I)
+_CLUSTER = re.compile(
+    r"\b(?:cluster|clust|cl|leiden|group|grp)[\s._=:#-]*\d+\b|^\W*\d+\s*[:=]|\bc\d+\b|(?-i:(?:(?<=[a-z]{5})|(?<=Type\d)|(?<=\)))C\d+)\b", re.I
+)
 _MARKER = re.compile(r"(?:\b[a-z]+|[A-Z][a-z]+|[A-Z]+)\d{2,}\s*(?:\+|-|hi(?:gh)?\b|lo(?:w)?\b|pos\b|neg\b)")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|(?<=[A-Za-z])(?=\d)(?!\d+[A-Za-z])")
 _PIECE = re.compile(r"[a-z0-9]+")
@@ -53,7 +55,7 @@ def plain(text: str) -> str:
     """Latin letters without marks; Greek letters that stand for themselves are spelled out."""
     text = clean(text)
     if not text.isascii():
-        text = re.sub(r"[αΑβΒγΓ](?![^\W\d_])", lambda m: f" {_GREEK[m[0]]} ", text)
+        text = re.sub(r"[αΑβΒγΓ](?=$|[\W\d_]|C\d)", lambda m: f" {_GREEK[m[0]]} ", text)
         text = unicodedata.normalize("NFKD", text.translate(_LIKE))
         text = "".join(c for c in text if not unicodedata.combining(c))
     return text
@@ -232,12 +234,14 @@ class Canon:
     def _match(self, value: str) -> str:
         text = plain(value)
         whole = "".join(_PIECE.findall(text.lower()))
-        if whole in self.compact:
+        # A switch that stands apart can look like the end of a word: "Neur. (On)" is no neuron.
+        apart = {w for w in re.findall(r"[a-z0-9]+", text.lower()) if w in _SWITCH}
+        if whole in self.compact and apart <= {self.compact[whole][1]}:
             return self.entry.get(self.compact[whole], UNMATCHED)
         text = _MARKER.sub(" ", _CLUSTER.sub(" ", text.replace("_", " ")))
         hits: list[tuple[str, str]] = []  # families and qualifiers by names without separators
         raw = re.findall(r"[A-Za-z0-9]+", text)
-        dotted = {m[1].lower() for m in re.finditer(r"([A-Za-z]+)\.", text)}
+        dotted = {m[1].lower() for m in re.finditer(r"(?<![A-Za-z])([A-Za-z]+)\.", text)}
         at = 0
         rest: list[str] = []
         while at < len(raw):
@@ -251,9 +255,11 @@ class Canon:
                 rest += _CAMEL.sub(" ", raw[at]).split()
                 at += 1
         words: list[str] = []
-        for w in (x.lower() for x in rest):
-            if len(w) >= 10 and self.repair(w) is None:
-                if (c := self._whole(w)) is not None:
+        rest = [w.lower() for w in rest]
+        for w, following in itertools.zip_longest(rest, rest[1:], fillvalue=""):
+            if len(w) >= 8 and self.repair(w) is None:
+                number = w.endswith("t") and following.isdigit() and len(following) == 1  # T3 at the end of a long word
+                if len(w) >= 10 and not number and (c := self._whole(w)) is not None:
                     hits.append(c)
                     continue
                 words += self.split(w)

@@ -31,7 +31,9 @@ CASES = {
     "cell of the outer rim (halhemin)": "Martrihalal_Endothelial_Cell", "dorbriex mural cell (OFF)": "OFF_Dorbriex_Mural_Cell",
     "OnDorMC c8": "ON_Dorbriex_Mural_Cell", "d0rbriex mural cells [adult]": "Dorbriex_Mural_Cell", "SIMFLIALGLIA": "Simflial_Glia",
     "sirnflial glia - good quality": "Simflial_Glia", "Simflial Glia (n.b. check)": "Simflial_Glia",
-    "quinstraar interneuron type 3": "unmatched", "korravent interneuron": "unmatched", "unknown": "unmatched", "leiden 4": "unmatched",
+    "QUINSTRAARINTERNEURONT2": "Quinstraar_Interneuron_Type_2", "QuinstraarInterneuronType1C34": "Quinstraar_Interneuron_Type_1",
+    "MartriinEpithelialCellΒC23": "Martriin_Epithelial_Cell_Beta", "MARTRIINEPITH.CELLALPHA": "Martriin_Epithelial_Cell_Alpha",
+    "MartriinEpithelialCellC9": "Martriin_Epithelial_Cell", "quinstraar interneuron type 3": "unmatched", "korravent interneuron": "unmatched", "unknown": "unmatched", "leiden 4": "unmatched",
     "BRID79+ cells": "unmatched", "simflial glia / hemnodar glia": "unmatched", "mix of simflial glia and korravent phagocyte": "unmatched",
     "simflial glia + korravent mural cell doublet": "unmatched", "martriin epithelial cell alpha or beta?": "unmatched", "??": "unmatched",
 }

@@ -46,3 +46,10 @@ def test_pack(spark):
     assert got == +want and max(fill.values()) <= 100
     assert sum(1 for r in rows if r["doc_id"] == 1 and r["n_tokens"] < 100) <= 1
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["a" + " " * 60 + "b c", " " * 50, "x\n" + "\n \t" * 20 + "\ny", "a" + " " * 40 + "\n", "no space", "", " " * 30 + "1" + " " * 30 + "漢"])
+def test_long_white_space_counts_the_same(text):
+    tok = packing.tokenizer(packing.TOKENIZER)
+    assert packing.count_tokens(tok, text, longest=10) == len(tok.encode_ordinary(text))
+    assert packing.count_tokens(tok, "a" + " " * 1_000_000 + "b") > 1
