@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -138,23 +138,31 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     return t.select(F.coalesce(F.try_divide(top, bottom), F.lit(1.0)).alias("ari"))
 
 
-def log_factorials(most: int) -> list[float]:
-    """Natural logs of 0! to ``most``!."""
-    return reduce(lambda out, k: out + [out[-1] + math.log(k)], range(1, most + 1), [0.0])
+def _tail(hits: int, marked: int, drawn: int, total: int, at_once: int = 1 << 20) -> float:
+    """The terms follow from each other by the ratio of neighbours, in logs, ``at_once`` of them at a time."""
+    if hits <= 0:
+        return 1.0
+    low, top, rest = max(hits, drawn + marked - total), min(marked, drawn), total - marked - drawn
+    if low > top:
+        return 0.0
+    choose = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    log, tail = choose(marked, low) + choose(total - marked, drawn - low) - choose(total, drawn), 0.0
+    for start in range(low, top + 1, at_once):
+        i = np.arange(start, min(start + at_once, top + 1), dtype=float)
+        steps = np.log((marked - i[:-1]) * (drawn - i[:-1])) - np.log((i[:-1] + 1) * (rest + i[:-1] + 1))
+        logs = log + np.concatenate([[0.0], np.cumsum(steps)])
+        tail += float(np.exp(logs).sum())
+        last = i[-1]
+        if last < top:
+            log = logs[-1] + math.log((marked - last) * (drawn - last)) - math.log((last + 1) * (rest + last + 1))
+    return min(1.0, tail)
 
 
-def hypergeometric_tail(hits: str, marked: str, drawn: str, total: str, most: int) -> Column:
-    """P(X >= hits) when ``drawn`` of ``total`` are drawn and ``marked`` of them count; ``most`` bounds ``total``."""
-    table = F.array(*[F.lit(v) for v in log_factorials(most)])
-    lf = lambda n: F.element_at(table, (n + 1).cast("int"))
-    choose = lambda n, k: lf(n) - lf(k) - lf(n - k)
-    a, k, n, t = (F.col(c) for c in (hits, marked, drawn, total))
-    top = F.least(k, n)
-    low = F.greatest(a, n + k - t, F.lit(0))
-    term = lambda i: F.exp(choose(k, i) + choose(t - k, n - i) - choose(t, n))
-    terms = F.transform(F.sequence(low.cast("int"), top.cast("int")), term)
-    tail = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
-    return F.when(a <= 0, 1.0).when(low > top, 0.0).otherwise(F.least(F.lit(1.0), tail))
+@F.pandas_udf(DoubleType())
+def hypergeometric_tail(hits: pd.Series, marked: pd.Series, drawn: pd.Series, total: pd.Series) -> pd.Series:
+    """P(X >= hits) when ``drawn`` of ``total`` are drawn and ``marked`` of them count, for totals of any size; null if one is null."""
+    rows = zip(hits, marked, drawn, total, strict=True)
+    return pd.Series([None if any(pd.isna(v) for v in r) else _tail(*map(int, r)) for r in rows], dtype="float64")
 
 
 def linear_t(df: DataFrame, x: str, y: str, *by: str) -> DataFrame:

@@ -177,10 +177,13 @@ _TAIL = """lf as (select i, coalesce(sum(ln(i)) over (order by i rows between un
   - (select f from lf0 where lf0.i = total) + (select f from lf0 where lf0.i = drawn) + (select f from lf0 where lf0.i = total - drawn))) p from e group by 1, 2)
  select dataset_id, group_label, hits, marked, drawn, total, round(case when hits <= 0 then 1 else coalesce(least(1, p), 0) end, 7) p from t left join p using (dataset_id, group_label)""", prelude="with ")
 def overrepresentation(spark, d):
-    """Are a group's genes overrepresented among the high-scoring ones of its data set?"""
+    """Are a group's genes overrepresented among the high-scoring ones of its data set?
+
+    The SQL's table of log-factorials ends at 2000, so it leaves out data sets with more genes; this doesn't.
+    """
     rows = table(spark, d, "marker_gene").where("names is not null and scores is not null and not isnan(scores)")
     high = F.countDistinct(F.when(F.col("scores") > 20, F.col("names"))).cast("int")
-    whole = rows.groupBy("dataset_id").agg(F.countDistinct("names").cast("int").alias("total"), high.alias("drawn")).where("total <= 2000")
+    whole = rows.groupBy("dataset_id").agg(F.countDistinct("names").cast("int").alias("total"), high.alias("drawn"))
     groups = rows.where("group_label is not null").groupBy("dataset_id", "group_label").agg(F.countDistinct("names").cast("int").alias("marked"), high.alias("hits"))
-    out = groups.join(whole, "dataset_id").withColumn("p", F.round(stats.hypergeometric_tail("hits", "marked", "drawn", "total", 2000), 7))
+    out = groups.join(whole, "dataset_id").withColumn("p", F.round(stats.hypergeometric_tail("hits", "marked", "drawn", "total"), 7))
     return out.select("dataset_id", "group_label", "hits", "marked", "drawn", "total", "p")
