@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from spindrel.runtime import checkpoint
 
 
+def top_sets(rows: DataFrame, n: int = 15, least: int = 3) -> DataFrame:
+    """``cluster, gene``: the ``n`` best genes of each cluster of ``rows(cluster, gene, score)``, of clusters with at least ``least`` of them.
+
+    A gene counts once, with its best score; equal scores go by name.
+    """
+    best = rows.groupBy("cluster", "gene").agg(F.max("score").alias("score"))
+    own = Window.partitionBy("cluster")
+    top = best.withColumn("k", F.row_number().over(own.orderBy(F.desc("score"), "gene"))).where(F.col("k") <= n)
+    return top.withColumn("m", F.count(F.lit(1)).over(own)).where(F.col("m") >= least).select("cluster", "gene")
+
+
 def idf_vectors(sets: DataFrame) -> DataFrame:
     """Unit vectors of ``cluster, gene`` with weights ``ln((n + 1) / (df + 1))``, n clusters and df of them with the gene."""
     n = sets.select("cluster").distinct().count()
@@ -36,6 +47,14 @@ def cosine_edges(vectors: DataFrame, least: float) -> DataFrame:
     return dots.where(F.col("cosine") >= least)
 
 
+def cosine_pairs(vectors: DataFrame, least: float) -> DataFrame:
+    """The same for short vectors, of which nearly every gene would start a pair: their common genes are summed at once."""
+    v = vectors.where("w > 0")
+    a, b = (v.select(F.col("cluster").alias(c), "gene", F.col("w").alias(f"w{c}")) for c in "ab")
+    dots = a.join(b, "gene").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
+    return dots.where(F.col("cosine") >= least)
+
+
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """``node, component`` (its smallest node): large-star and small-star rounds until nothing changes.
 

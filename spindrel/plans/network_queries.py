@@ -9,7 +9,7 @@ from spindrel.functions import text
 from spindrel.operators import bulk, comparison, intervals, network, spatial
 from spindrel.plans import roles
 from spindrel.plans.book import Book
-from spindrel.runtime import table
+from spindrel.runtime import checkpoint, strip, table
 from spindrel.streaming import quality_stream
 
 BOOK = Book("with ")
@@ -251,6 +251,37 @@ def cluster_communities(spark, d):
     return comparison.components(v.select(F.col("cluster").alias("node")), comparison.cosine_edges(v, 0.1))
 
 
+# The sets above hold what scores over 15 and miss clusters of lower scores; these hold the 15 best genes of every cluster.
+_TOP_SETS = """gs as (select dataset_id || '|' || group_label "cluster", upper(trim(names)) gene, max(scores) s from marker_gene where dataset_id is not null and group_label is not null and names is not null and scores is not null and not isnan(scores) group by all),
+ tk as (select "cluster", gene from gs qualify row_number() over (partition by "cluster" order by s desc, gene) <= 15), st as (select "cluster", gene from tk qualify count(*) over (partition by "cluster") >= 3),
+""" + _SETS.partition("\n")[2]
+
+
+def _top_vectors(spark, d):
+    real = "dataset_id is not null and group_label is not null and names is not null and scores is not null and not isnan(scores)"
+    rows = table(spark, d, "marker_gene").where(real)
+    rows = rows.select(F.concat_ws("|", "dataset_id", "group_label").alias("cluster"), F.upper(strip("names")).alias("gene"), F.col("scores").alias("score"))
+    return comparison.idf_vectors(checkpoint(comparison.top_sets(rows)))
+
+
+@query(_TOP_SETS + ' select "cluster", gene, round(w, 6) + 0.0 w from vc')
+def marker_set_vectors(spark, d):
+    return _r(_top_vectors(spark, d), "w")
+
+
+@query(_TOP_SETS + " select a, b, round(cosine, 6) cosine from cs")
+def marker_set_similarity(spark, d):
+    return _r(comparison.cosine_pairs(_top_vectors(spark, d), 0.1), "cosine")
+
+
+@query("recursive " + _TOP_SETS + """, ed as (select a u, b v from cs union select b, a from cs), wk as (select distinct "cluster" node, "cluster" root from vc union select ed.v, wk.root from wk join ed on ed.u = wk.node)
+ select node, min(root) component from wk group by 1""")
+def marker_set_communities(spark, d):
+    """Connected parts of the similarity graph of the best genes."""
+    v = _top_vectors(spark, d)
+    return comparison.components(v.select(F.col("cluster").alias("node")), comparison.cosine_pairs(v, 0.1))
+
+
 @query("""n as (select leiden, batch, count(*) n from obs_annotated where batch is not null and leiden is not null group by all), r as (select *, row_number() over (partition by leiden order by n desc, batch) k, sum(n) over (partition by leiden) t from n)
  select leiden, max(batch) filter (k = 1) top, round(max(n / t) filter (k = 1), 6) top_share, max(batch) filter (k = 2) "second", round(max(n / t) filter (k = 2), 6) second_share from r group by 1""")
 def label_agreement(spark, d):
