@@ -59,6 +59,7 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> Dat
     """``node, component`` (its smallest node): large-star and small-star rounds until nothing changes.
 
     Each round is written to the checkpoint folder. Stars halve paths, so rounds grow with the log of the longest.
+    Labels that still change after ``most_rounds`` are not returned; it fails.
     """
     e = checkpoint(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct())
     for _ in range(most_rounds):
@@ -75,6 +76,8 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> Dat
         e = nxt
         if not changed:
             break
+    else:
+        raise RuntimeError(f"components still change after {most_rounds} rounds")
     root = e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component"))
     return nodes.select("node").distinct().join(root, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spindrel.runtime import checkpoint
+
 # Weights, thresholds and orders of the decision tables.
 LEVELS = {"gold": 5, "high": 3, "medium": 2}
 SOURCES = ("marker", "expert", "ai", "celltypist")
@@ -190,13 +192,22 @@ def fuse(scores: DataFrame, rules: DataFrame, low_quality: DataFrame, near: floa
     return j.select("cluster", pick(1).alias("label"), pick(2).alias("confidence"), pick(3).alias("method"))
 
 
-def ancestors(types: DataFrame, most: int = 8) -> DataFrame:
-    """The root of each entry of a hierarchy ``type_key, parent`` and its depth; a parent that is missing ends the walk."""
-    here = types.select("type_key", F.col("type_key").alias("root"), F.lit(0).alias("depth"), F.col("parent").alias("up"))
-    step = types.select(F.col("type_key").alias("up"), F.col("parent").alias("__next"), F.lit(True).alias("__hit"))
-    for _ in range(most):
-        here = here.join(step, "up", "left").select(
-            "type_key", F.when(F.col("__hit"), F.col("up")).otherwise(F.col("root")).alias("root"),
-            F.when(F.col("__hit"), F.col("depth") + 1).otherwise(F.col("depth")).alias("depth"), F.when(F.col("__hit"), F.col("__next")).alias("up"),
-        )
-    return here.select("type_key", "root", "depth")
+def ancestors(types: DataFrame) -> DataFrame:
+    """The root of each entry of a hierarchy ``type_key, parent`` and its depth; a parent that is missing ends the walk.
+
+    Each round, written to the checkpoint folder, doubles the steps walked, until all stand at a root. ``type_key`` is
+    unique. A walk of more steps than there are entries goes in a circle, and it fails.
+    """
+    known = types.select(F.col("type_key").alias("parent"), F.lit(True).alias("__hit")).distinct()
+    here = checkpoint(types.join(known, "parent", "left").select(
+        "type_key", F.when(F.col("__hit"), F.col("parent")).otherwise(F.col("type_key")).alias("root"), F.when(F.col("__hit"), 1).otherwise(0).alias("depth"),
+    ))
+    entries = here.count()
+    while True:
+        step = here.where("depth > 0").select(F.col("type_key").alias("root"), F.col("root").alias("__next"), F.col("depth").alias("__more"))
+        if here.join(step, "root", "left_semi").isEmpty():
+            return here
+        further = F.col("depth") + F.coalesce("__more", F.lit(0))
+        here = checkpoint(here.join(step, "root", "left").select("type_key", F.coalesce("__next", "root").alias("root"), further.alias("depth")))
+        if not here.where(F.col("depth") > entries).isEmpty():
+            raise ValueError("the hierarchy has a cycle")
