@@ -2,10 +2,11 @@
 
 Texts are measured in tokens and those above the capacity cut into pieces. A histogram of the piece
 lengths, which has at most as many entries as the capacity, gives by dynamic programming the bucket
-boundaries that minimise padding. Batches with a token budget of the capacity then form bucket by bucket,
-the longest first: a batch takes pieces of its own bucket while they fit, and what room remains is given
-to the longest pieces of lower buckets that fit. Pieces are spread over groups of bounded size by a hash, so
-that every group has the whole mixture of lengths and leaves few containers partly filled.
+boundaries that minimise padding. Batches with a token budget of the capacity form inside each bucket, the
+longest bucket first: pieces of one bucket follow each other by length while the budget lasts. Only the room
+that a batch has left then is handed down, to the next shorter bucket, whose pieces form batches of their
+own after it is used. Pieces are spread over groups of bounded size by a hash, so that every group has the
+whole mixture of lengths and leaves few containers partly filled.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ from __future__ import annotations
 import bisect
 import functools
 import math
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,10 +59,15 @@ def count_tokens(encoding, text: str, longest: int = LONG_SPACE) -> int:  # noqa
 
 
 def token_counts(documents: DataFrame, doc_id: str, text: str, path: str = TOKENIZER) -> DataFrame:
-    """``doc_id`` and ``n_tokens`` of every text that is not null; whole texts are encoded."""
+    """``doc_id`` and ``n_tokens`` of every text that is not null; whole texts are encoded.
+
+    The file of ranks at ``path`` is sent to the workers, which need no copy of their own.
+    """
+    documents.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding = tokenizer(path)
+        encoding = tokenizer(SparkFiles.get(name))
         for b in batches:
             yield pd.DataFrame({"doc_id": b["d"], "n_tokens": [count_tokens(encoding, t) for t in b["t"]]})
 
@@ -104,26 +112,39 @@ def bucket_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
 
 
 def fill(lengths: np.ndarray, bounds: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Container number and bucket bound of every piece (lengths from 1 to ``capacity``)."""
-    order = np.argsort(-lengths, kind="stable")
-    by_length: dict[int, list[int]] = {}
-    for i in order[::-1].tolist():
-        by_length.setdefault(int(lengths[i]), []).append(i)
-    open_ = sorted(by_length)
+    """Container number and bucket bound of every piece (lengths from 1 to ``capacity``).
+
+    Buckets come from the longest to the shortest. Batches of longer buckets that have room take the longest
+    pieces of this bucket that fit; the pieces that remain form batches among themselves, one after the other by
+    falling length while the token budget lasts. A batch never takes a piece of a longer bucket than its own.
+    """
     container, bucket = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    number = 0
-    while open_:
-        bound = bounds[bisect.bisect_left(bounds, open_[-1])]
-        room = capacity
-        while room > 0 and (at := bisect.bisect_right(open_, room) - 1) >= 0:
-            # The longest piece that fits: of the batch's own bucket while there is one, then of lower ones.
-            length = open_[at]
-            i = by_length[length].pop()
-            if not by_length[length]:
-                del open_[at]
-            container[i], bucket[i] = number, bound
-            room -= length
-        number += 1
+    opened: list[int] = []  # bound of the bucket that opened each container
+    rooms: list[tuple[int, int]] = []  # room left and container, of those with any
+    at = np.searchsorted(np.asarray(bounds, np.int64), lengths)
+    for k in range(len(bounds) - 1, -1, -1):
+        own = np.flatnonzero(at == k)
+        own = own[np.argsort(lengths[own], kind="stable")]
+        size, index = lengths[own].tolist(), own.tolist()
+        left: list[tuple[int, int]] = []
+        for room, c in sorted(rooms, reverse=True):
+            while size and (i := bisect.bisect_right(size, room) - 1) >= 0:
+                container[index[i]], room = c, room - size[i]
+                del size[i], index[i]
+            if room:
+                left.append((room, c))
+        rooms, room = left, 0
+        for n, i in zip(reversed(size), reversed(index), strict=True):
+            if n > room:
+                if room:
+                    rooms.append((room, len(opened) - 1))
+                opened.append(bounds[k])
+                room = capacity
+            container[i], room = len(opened) - 1, room - n
+        if room:
+            rooms.append((room, len(opened) - 1))
+    if len(lengths):
+        bucket[:] = np.asarray(opened, np.int64)[container]
     return container, bucket
 
 

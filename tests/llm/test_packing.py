@@ -31,6 +31,21 @@ def test_fill():
     assert (bucket >= lengths).all() and set(bucket.tolist()) <= set(bounds)
 
 
+def test_bounds_shape_the_containers():
+    rng = np.random.default_rng(2)
+    lengths = np.minimum(rng.lognormal(5.5, 1, 5000).astype(int) + 1, 2048)
+    unused = {}
+    for buckets in (1, 2, 16):
+        bounds = packing.bucket_bounds(dict(Counter(lengths.tolist())), buckets)
+        container, _ = packing.fill(lengths, bounds, 2048)
+        unused[buckets] = 1 - lengths.sum() / ((container.max() + 1) * 2048)
+    assert unused[16] < 0.01 < unused[1] and unused[16] < unused[2] < unused[1]
+    # Within a bucket that gets no room from above, batches are runs of neighbouring lengths.
+    container, _ = packing.fill(np.array([900, 1000, 300, 310, 320, 330]), [330, 1000], 1000)
+    assert container.tolist() == [1, 0, 3, 2, 2, 2]
+    assert len(packing.fill(np.array([], int), [], 10)[0]) == 0
+
+
 def test_pack(spark):
     texts = [(1, "one two three " * 400), (2, "word"), (3, ""), (4, None), (5, "   "), (2, "word"), (6, "ü漢字 " * 50), (None, "some text")]
     docs = spark.createDataFrame([(d, t, 0) for d, t in texts], "doc_id bigint, text string, n_tokens int")
