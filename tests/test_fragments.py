@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from spindrel.operators.fragments import BUCKETS, SPREAD, TASK, distinct_per_key, pack, plan_fragments
+from spindrel.operators.fragments import BUCKETS, KEY, SPREAD, TASK, combined, distinct_per_key, pack, plan_fragments, plan_of_loads, shards_of
 
 SCHEMA = "k string, v string, extra int"
 
@@ -56,3 +56,20 @@ def test_pack_is_even_and_stable():
     for k, t in where.items():
         used[t] += loads[k]
     assert max(used.values()) - min(used.values()) <= 100
+
+
+@pytest.mark.parametrize("value", [None, "same"])
+def test_repeated_values_of_a_heavy_key_are_combined(spark, value):
+    rows = spark.range(30_000).select(F.lit("hot").alias("k"), F.lit(value).cast("string").alias("v"), F.lit(1).alias("extra"))
+    assert [tuple(r) for r in combined(rows, F.col("k"), F.col("v")).collect()] == [("hot", value, 30_000)]
+    match = spark.createDataFrame([("hot",)], "key string")
+    out = distinct_per_key(rows, F.col("k"), F.col("v"), match, F.col("key"))
+    assert [tuple(r) for r in out.collect()] == [("hot", 30_000, int(value is not None))]
+
+
+def test_plan_does_not_grow_with_the_rows(spark):
+    claimed = spark.range(5_000).select(F.col("id").cast("string").alias(KEY), F.when(F.col("id") == 7, 5 * 10**11).otherwise(1.2e8).cast("bigint").alias("load"))
+    plan = plan_of_loads(claimed, tasks=16)
+    assert plan.total > 10**12 and plan.tasks == 16 and len(plan.buckets) == 16 * BUCKETS
+    assert set(plan.heavy) == {"7"} and SPREAD * 4 <= len(plan.heavy["7"]) <= 2 * SPREAD * 16 and set(plan.heavy["7"]) == set(range(16))
+    assert [shards_of(n, 10) for n in (1, 10, 11, 20, 21, 80)] == [1, 1, 2, 2, 4, 8]
