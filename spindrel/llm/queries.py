@@ -109,8 +109,9 @@ def p5_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
-    """Wanted, available and drawn cells of every setting and group, and the residual imbalance."""
-    return _p5(spark, d)[1].withColumnRenamed("category", "grp")
+    """Wanted, available and drawn cells of every setting and group, and the residual imbalance of their shares."""
+    report = _p5(spark, d)[1].withColumnRenamed("category", "grp")
+    return report.withColumns({c: F.round(c, 9) + F.lit(0.0) for c in ("wanted_share", "realised_share", "imbalance")})
 
 
 def _norm(x: str) -> str:
@@ -129,7 +130,9 @@ use as (select distinct s.setting_id, m.grp, m.skey, least(n, coalesce(max_per_s
 av as (select setting_id, grp, sum(give)::bigint available from use group by all),
 report as (select t.setting_id, t.grp, need::bigint need, coalesce(available, 0) available,
   least(need, coalesce(available, 0))::bigint selected, (need - least(need, coalesce(available, 0)))::bigint shortfall
-  from tgt t left join av using (setting_id, grp))
+  from tgt t left join av using (setting_id, grp)),
+shares as (select *, coalesce(need / nullif(sum(need) over (partition by setting_id), 0), 0) wanted,
+  coalesce(selected / nullif(sum(selected) over (partition by setting_id), 0), 0) realised from report)
 """
 
 
@@ -188,5 +191,6 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": _RANKED + "select dataset_id, group_label, names from ranked where rank <= n",
         "p3_ranked": _RANKED + "select dataset_id, group_label, names, scores, logfoldchanges, rank from ranked where rank <= n",
         "p5_found": _REPORT + "select setting_id, grp from report where shortfall > 0",
-        "p5_report": _REPORT + "select * from report",
+        "p5_report": _REPORT + """select setting_id, grp, need, available, selected, shortfall, round(wanted, 9) + 0.0 wanted_share,
+          round(realised, 9) + 0.0 realised_share, round(realised - wanted, 9) + 0.0 imbalance from shares""",
     }
