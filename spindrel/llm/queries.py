@@ -18,10 +18,7 @@ DEFAULT_N = 50
 def _p1(spark: SparkSession, d: str) -> DataFrame:
     types = table(spark, d, "kb_type")
     names = types.select(F.explode(F.array("type_key", "display_name")).alias("cell_type_raw")).distinct()
-    typed = table(spark, d, "obs_annotated").select("row_id", "cell_type_raw").join(
-        F.broadcast(names.limit(2 * canonical.ENTRIES_MAX)), "cell_type_raw", "left_anti"
-    )  # longer lists are refused by map_rows
-    return canonical.map_rows(typed, "cell_type_raw", types)
+    return canonical.map_rows(table(spark, d, "obs_annotated").select("row_id", "cell_type_raw"), "cell_type_raw", types, names)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -39,19 +39,51 @@ CASES = {
 }
 
 
-@pytest.fixture(scope="module")
-def canon():
-    return canonical.Canon(LIST)
+TYPES = "type_key string, display_name string, synonyms array<string>, parent string"
 
 
-@pytest.mark.parametrize("value", CASES)
-def test_match(canon, value):
-    assert canon.match(value) == CASES[value]
+def mapped(spark, values, entries):
+    given = spark.createDataFrame([(v,) for v in dict.fromkeys(values)], "v string")
+    return {r["value"]: r["type_key"] for r in canonical.map_values(given, spark.createDataFrame(entries, TYPES)).collect()}
 
 
-def test_names_match_themselves(canon):
-    for key, display, synonyms, _ in LIST:
-        assert {canon.match(n) for n in [key, display, *(synonyms or [])]} == {key}
+def test_values(spark):
+    got = mapped(spark, CASES, LIST)
+    assert {v: got[v] for v in CASES if got[v] != CASES[v]} == {}
+
+
+def test_names_match_themselves(spark):
+    names = [(key, n) for key, display, synonyms, _ in LIST for n in [key, display, *(synonyms or [])]]
+    got = mapped(spark, [n for _, n in names], LIST)
+    assert all(got[n] == key for key, n in names)
+
+
+# Lists of cities and jobs, in which every word belongs to several entries or is short.
+PLAIN = ["Alpha Glia", "Retinal Glia", "Retinal Neuron", "Cortical Neuron", "Data Engineer", "Data Scientist", "Software Engineer", "New York", "Boston Office"]
+PLAIN_CASES = {
+    "retnal glia": "Retinal Glia", "retinal nueron": "Retinal Neuron", "Data Enginer": "Data Engineer", "engineer data": "Data Engineer", "New Yrok": "New York",
+    "senior software enginer (berlin)": "Software Engineer", "BOSTONOFFICE": "Boston Office", "Data": "unmatched", "glia neuron": "unmatched",
+    "New York / Boston Office": "unmatched", "Cortical Glia": "unmatched", "carpenter": "unmatched",
+}
+
+
+def test_plain_lists(spark):
+    got = mapped(spark, PLAIN_CASES, [(n, None, None, None) for n in PLAIN])
+    assert got == PLAIN_CASES
+
+
+def test_tokens():
+    read = lambda v: [t for _, _, t, _ in canonical.tokens(v)]
+    assert read("Type-II cell (3), cluster 13 T2") == ["type2", "cell", "type3", "cluster13", "type2"]
+    assert read("OFFNewYorkC9 n.b.") == ["off", "new", "york", "c9"] and read("") == [] and read("12 monkeys") == ["12", "monkeys"]
+    assert canonical._cut("onnewyorkofthe", ["on", "new", "york", "of", "the"]) == ["on", "new", "york", "of", "the"]
+
+
+def test_scores():
+    name = [("retinal", 2.0), ("glia", 1.0)]
+    assert canonical.scores([[("retinal", 1.0, 2.0)], [("glia", 1.0, 1.0)]], name) == pytest.approx((1.0, 1.0, 0.0))
+    score, held, left = canonical.scores([[("retinal", 0.8, 2.0)], [("york", 1.0, 2.0)]], name)
+    assert score == pytest.approx(3.2 / (5 * 8) ** 0.5) and held == pytest.approx(1.6 / 3) and left == pytest.approx(0.5)
 
 
 def test_distance():
@@ -68,3 +100,5 @@ def test_rows(spark, monkeypatch, bound):
     assert out == {i: CASES.get(v, "unmatched") for i, v in enumerate(values) if v and v.strip()}
     assert set(r["type_key"] for r in canonical.map_rows(rows, "v", types.limit(0)).collect()) == {"unmatched"}
     assert canonical.map_rows(rows.limit(0), "v", types).count() == 0
+    some = canonical.map_rows(rows, "v", types, types.select("display_name"))
+    assert some.count() == len(out) - sum(v in {e[1] for e in LIST} for v in values)
