@@ -238,13 +238,25 @@ def _cut(token: str, words: list[str]) -> list[str]:
 
     Words of fewer than four letters are only taken where they fill a gap or begin the token.
     """
-    found = {(token.find(w, i), w) for w in words if len(w) >= 4 for i in range(len(token)) if token.find(w, i) >= 0}
-    best: list[tuple[int, int, list[tuple[int, str]]]] = [(0, 0, [])]
+    ends: dict[int, list[str]] = {}
+    for w in words:
+        i = token.find(w) if len(w) >= 4 else -1
+        while i >= 0:
+            ends.setdefault(i + len(w), []).append(w)
+            i = token.find(w, i + 1)
+    best, last = [(0, 0)], [""]  # letters covered and words used up to each place, and the word that ends there
     for end in range(1, len(token) + 1):
-        options = [best[end - 1]] + [(c + len(w), k - 1, [*p, (a, w)]) for a, w in found if a + len(w) == end for c, k, p in [best[a]]]
-        best.append(max(options, key=lambda o: o[:2]))
+        options = [(*best[end - 1], "")] + [(best[end - len(w)][0] + len(w), best[end - len(w)][1] - 1, w) for w in ends.get(end, ())]
+        covered, used, word = max(options)
+        best.append((covered, used))
+        last.append(word)
+    chosen, end = [], len(token)
+    while end:
+        if last[end]:
+            chosen.append((end - len(last[end]), last[end]))
+        end -= max(len(last[end]), 1)
     parts, at = [], 0
-    for a, w in best[-1][2]:
+    for a, w in reversed(chosen):
         parts += [token[at:a], w] if a > at else [w]
         at = a + len(w)
     if at < len(token):
@@ -264,11 +276,9 @@ def _cut(token: str, words: list[str]) -> list[str]:
 
 def _parts(long: DataFrame, canon: Canon) -> DataFrame:
     """``token, at, part`` for long tokens that hold words of the vocabulary."""
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(2), F.least(F.length("token"), F.lit(canon.longest))),
-        lambda k: F.transform(F.sequence(F.lit(1), F.length("token") - k + 1), lambda i: F.substring("token", i, k)),
-    ))
-    held = long.select("token", F.explode(F.array_distinct(subs)).alias("word")).join(canon.words.where("spread > 0 or length(word) < 4").select("word"), "word")
+    longest = canon.longest
+    subs = _each(long.select("token"), "token", lambda t: [(w,) for w in {t[i : i + k] for k in range(2, min(len(t), longest) + 1) for i in range(len(t) - k + 1)}], "word string")
+    held = subs.join(canon.words.where("spread > 0 or length(word) < 4").select("word"), "word")
     grouped = held.groupBy("token").agg(F.collect_set("word").alias("words")).where(F.exists("words", lambda w: F.length(w) >= 4))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
