@@ -1,16 +1,22 @@
 """Per-document text quality statistics, and which documents are not running prose.
 
-Running prose shows in its words: function words of some language recur at a certain rate, with some
-variety, in every stretch of a few lines. Lists, tables, logs, menus, code and noise either lack them,
-repeat one or two of them, or consist of them alone. Layout gives the second evidence: delimiters that
-stand in the same columns or number on line after line, indentation that returns with a period, and line
-lengths that are alike from line to line (autocorrelation) raise the rate that is asked for.
-Both are measured per stretch, so that a text of mixed content gets the share of its characters that
-belong to prose, with borders moved to where the word evidence turns.
+Layout is measured first: delimiters that stand in the same number and kind on line after line or fill a line
+(vertical alignment), marks of lists, indentation that returns with a period, and lengths of lines that follow
+each other (autocorrelation). Together with the ratios of symbols, digits and punctuation they set what a stretch of
+words has to show in order to be prose.
+
+It can show it in two ways, in a window of some twenty words. Function words of the list given recur in prose at a
+certain rate with some variety, where lists, tables, logs and menus lack them, repeat one or two of them, or
+consist of them alone; where the layout speaks for a table or list, a higher rate is asked for. Or, in whatever language, the
+words have the form of sentences: letters with vowels among them, words of all lengths, short ones between long ones, hardly
+repeated, in lines of several words with few digits, commas or other symbols, and ends of sentences. This way is open only
+where no layout speaks against it. Both are measured per stretch, so that a text of mixed content gets the share of
+its characters that belong to prose, with borders moved to where the evidence turns.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +26,7 @@ from pyspark.sql import functions as F
 
 from spindrel.llm.words import SLICE, clean, slices
 
-_TOP = 0x30000
+_TOP = 0x32400  # no letters or white space above
 _codes = [chr(c) for c in range(_TOP)]
 _ALNUM = np.array([c.isalnum() for c in _codes])
 _WHITE = np.array([c.isspace() for c in _codes])
@@ -35,30 +41,31 @@ def _table(chars: str) -> np.ndarray:
 
 
 _HAN = np.zeros(_TOP, bool)
-_HAN[0x3400:0xA000] = True
+_HAN[0x3400:0xA000] = _HAN[0x20000:_TOP] = True
 _ENDING = _table(".!?。！？…:;\"'”’»)")  # a line may end in these
 _STOP = _table(".!?。！？")  # a sentence ends in these, before white space or one of the next
 _AFTER = _table("<\"'”»)]。！？") | _WHITE
 _DELIMITER = _table("|;\t=»：")
 _BULLET = _table("-*•+")
+_COMMA = _table(",，、")
+_INNER = _table("'’-‐,.!?:;\"“”„()«»") | _WHITE  # between words of a sentence; all else is a symbol
+
+# Vowels of the Latin, Cyrillic and Greek alphabets, without their marks. Letters of other scripts need none.
+_VOWELS = set("aeiouyаеёиоуыэюяіїєαεηιουω")
+_VOWEL = np.ones(_TOP, bool)
+_VOWEL[:0x530] = [unicodedata.normalize("NFD", chr(c).lower())[0] in _VOWELS or not chr(c).isalpha() for c in range(0x530)]
+_VOWEL[0x1E00:0x2000] = [unicodedata.normalize("NFD", chr(c).lower())[0] in _VOWELS for c in range(0x1E00, 0x2000)]
+_DIGIT = np.array([chr(c).isdigit() for c in range(_TOP)])
 _PRIME = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses
 
-#: More function words, as short lists of common words lack some that short sentences depend on.
-MORE = """
-    because before can did each few has how if may only other over same so some still such then there these they those
-    through too under until up very where whereas whether who would yet
-    aber alle allem bis da dabei damit dann dass deshalb diese diesem dieser dieses einem einen einer eines erst haben hat
-    ob ohne sehr sind sobald um unter vom vor waren wenn werden wird während zum zur zwischen
-    ainsi alors après aux avait avant aussi chez comme dont encore entre était été ces ils leur leurs lorsque mais
-    même ont où ou peu pu sans si sous surtout sont tous tout très
-    allí ante antes así cada como cuya dentro desde donde durante era eran esa ese esta estos fue ha hasta hay
-    mientras muy ni nos otra otro pues que si sobre solo son también tan todas todo todos tras
-""".split()
-
 HALF = 10  # words on either side of a word that its rate is taken over
 RATE_LOW, RATE_HIGH = 0.125, 0.72
 RATE_STRUCTURED = 0.22
 VARIETY = 3
+#: What the form of sentences asks of a window: shares of its words.
+WORDLIKE, SHORT_LOW, SHORT_HIGH, LONG_LOW, DISTINCT = 0.65, 0.08, 0.7, 0.3, 0.7
+DIGITS, COMMAS, SYMBOLS, LINES, STOPS = 0.3, 0.25, 0.15, 0.25, 0.1
+AUTO, LAYOUT_LINES = 0.6, 6  # autocorrelation of a layout, and lines from which on it tells
 GAP = 12  # characters between two words of prose that still belong to it
 SNAP = 14
 _LLR = (1.9, -0.42)  # evidence for prose of a function word and of any other word
@@ -66,7 +73,6 @@ _SOUP = -0.6  # ... and of a word among nothing but function words
 _BONUS = (2.0, 5.0)  # for a border at a new line, and at the end of a sentence or paragraph
 _RUN = 5  # ideographs in a row that make a clause, as words of lists are shorter
 
-_COUNTS = ("chars", "words", "letters", "digits", "lines", "ended", "common", "aligned", "listed", "period", "auto", "prose")
 _COLUMNS = (
     "n_chars bigint, n_words bigint, mean_word_length double, symbol_ratio double, digit_ratio double, "
     "n_lines bigint, line_end_punctuation double, common_word_share double, delimiter_alignment double, "
@@ -85,15 +91,28 @@ def autocorrelation(x: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     return np.where(n < 3, 0.0, out)
 
 
-def indent_period(indents: np.ndarray, doc: np.ndarray, docs: int, longest: int = 8) -> np.ndarray:
-    """The period, from 2 lines on, with which a document's indentation returns; 0 if it doesn't or never changes."""
-    n = np.bincount(doc, minlength=docs)
-    changes = np.bincount(doc[1:], (doc[1:] == doc[:-1]) & (indents[1:] != indents[:-1]), docs) if len(doc) else np.zeros(docs)
-    out = np.zeros(docs, np.int64)
-    for lag in range(min(longest, len(doc) - 1), 1, -1):
+_LAGS = range(2, 9)
+_COUNTS = ("chars", "words", "letters", "digits", "lines", "ended", "common", "aligned", "listed", "auto", "prose", *(f"indent{i}" for i in range(1 + 2 * len(_LAGS))))
+
+
+def indent_counts(indents: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+    """Rows of each document's changes of indentation and, for each lag, pairs of lines so far apart and equal ones among them."""
+    out = np.zeros((1 + 2 * len(_LAGS), docs), np.int64)
+    if len(doc):
+        out[0] = np.bincount(doc[1:], (doc[1:] == doc[:-1]) & (indents[1:] != indents[:-1]), docs)
+    for k, lag in enumerate(x for x in _LAGS if x < len(doc)):
         pair = doc[lag:] == doc[:-lag]
-        again = np.bincount(doc[lag:], pair & (indents[lag:] == indents[:-lag]), docs)
-        out[(changes > 0) & (n >= np.maximum(6, 2 * lag)) & (again >= 0.9 * (n - lag))] = lag
+        out[1 + 2 * k] = np.bincount(doc[lag:], pair, docs)
+        out[2 + 2 * k] = np.bincount(doc[lag:], pair & (indents[lag:] == indents[:-lag]), docs)
+    return out
+
+
+def indent_period(counts: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """The least period, from 2 lines on, with which a document's indentation returns; 0 if it doesn't or never changes."""
+    out = np.zeros(len(lines), np.int64)
+    for k, lag in reversed(list(enumerate(_LAGS))):
+        pairs, again = counts[1 + 2 * k], counts[2 + 2 * k]
+        out[(counts[0] > 0) & (lines >= max(6, 2 * lag)) & (pairs > 0) & (again >= 0.9 * pairs)] = lag
     return out
 
 
@@ -157,11 +176,13 @@ def _window_or(bits: np.ndarray, half: int) -> np.ndarray:
     return bits
 
 
-def prose_mask(ids: np.ndarray, structured: np.ndarray, bonus: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def prose_mask(ids: np.ndarray, structured: np.ndarray, bonus: np.ndarray, doc: np.ndarray, form: dict[str, np.ndarray] | None = None) -> np.ndarray:
     """Which words belong to running prose.
 
-    ``ids``: number of the function word (-1: none); ``structured``: is its line laid out as table or list;
-    ``bonus``: how well a border goes before each word, and after the last; ``doc``: number of its document.
+    ``ids``: number of the function word (-1: none); ``structured``: does the layout of its line or document speak for a table
+    or list; ``bonus``: how well a border goes before each word, and after the last; ``doc``: number of its document;
+    ``form``: of each word, whether it looks like a word, is short or long, has digits, and what symbols, commas, ends of
+    lines and of sentences follow it, and a hash.
     """
     n = len(ids)
     if not n:
@@ -180,9 +201,26 @@ def prose_mask(ids: np.ndarray, structured: np.ndarray, bonus: np.ndarray, doc:
     s = np.concatenate([[0], np.cumsum(structured)])
     asked = np.where((s[hi] - s[lo]) * 2 > width, RATE_STRUCTURED, RATE_LOW)
     mask = (rate >= asked) & (rate <= RATE_HIGH) & (variety >= np.where(high - low < 14, 2, VARIETY))
+    if form is not None:
+        share = lambda x: (lambda c: (c[hi] - c[lo]) / width)(np.concatenate([[0], np.cumsum(x)]))
+        bits[:] = 0
+        bits[place] = np.uint64(1) << (form["hash"] >> np.uint64(58))
+        distinct = np.bitwise_count(_window_or(bits, HALF)[place - HALF])
+        expected = 64 * (1 - (1 - 1 / 64) ** width)  # of as many words that all differ
+        short = share(form["short"])
+        sentence = (
+            (share(form["word"]) >= WORDLIKE) & ((short >= SHORT_LOW) | (share(form["stop"]) >= STOPS)) & (short <= SHORT_HIGH) & (share(form["long"]) >= LONG_LOW)
+            & (distinct >= DISTINCT * expected) & (share(form["digit"]) <= DIGITS) & (share(form["comma"]) <= COMMAS)
+            & (share(form["symbol"]) <= SYMBOLS) & (share(form["line"]) <= LINES) & (share(form["stop"]) > 0)
+            & (share(structured) == 0) & (rate <= RATE_HIGH) & (width >= 6)
+        )
+        mask |= sentence
     near_lo, near_hi = np.maximum(at - 3, low), np.minimum(at + 4, high)
     soup = total[near_hi] - total[near_lo] > 0.8 * (near_hi - near_lo)
-    evidence = np.concatenate([[0], np.cumsum(np.where(soup, _SOUP, np.where(common, *_LLR)))])
+    points = np.where(soup, _SOUP, np.where(common, *_LLR))
+    if form is not None:
+        points = np.where(sentence & ~soup, np.where(form["word"], 0.5, -0.5), points)
+    evidence = np.concatenate([[0], np.cumsum(points)])
     inside = np.zeros(n + 1, bool)
     inside[1:-1] = mask[1:] & mask[:-1] & (doc[1:] == doc[:-1])
     begins, ends = np.flatnonzero(mask & ~inside[:-1]), np.flatnonzero(mask & ~inside[1:]) + 1
@@ -199,7 +237,7 @@ class Statistics:
     """Statistics of texts, given the function words."""
 
     def __init__(self, common: list[str]) -> None:
-        known = sorted(w for w in {*common, *MORE} if w and all(c.isalnum() for c in w))
+        known = sorted({w for w in common if w and all(c.isalnum() for c in w)})
         self.longest = max(map(len, known), default=0)
         self._grow(4 * SLICE)
         keys = [self._keys(np.array([*map(ord, w)], np.uint32), np.array([0]), np.array([len(w)]))[0] for w in known]
@@ -245,6 +283,24 @@ class Statistics:
                 third[third < 0] = 1000 + np.flatnonzero(third < 0) % 7
         return start, end, ids
 
+    def _form(self, codes: np.ndarray, low: np.ndarray, start: np.ndarray, end: np.ndarray, line: np.ndarray, doc: np.ndarray, stops: np.ndarray) -> dict[str, np.ndarray]:
+        """What each word looks like and what stands between it and the next."""
+        upto = lambda x: np.concatenate([[0], np.cumsum(x)])
+        size = end - start
+        vowels, digits, han = upto(_VOWEL[codes]), upto(_DIGIT[codes]), _HAN[codes[start]]
+        digit = digits[end] - digits[start] > 0
+        after = np.concatenate([start[1:], [len(codes)]])
+        symbols, commas, solid = upto(~(_INNER[codes] | _ALNUM[codes])), upto(_COMMA[codes]), upto(~_WHITE[codes])
+        ends = stops[(stops > 0) & ~(_WHITE | _STOP)[codes[np.maximum(stops - 1, 0)]]]  # no rows of dots
+        stop = np.zeros(len(start), bool)
+        stop[np.minimum(np.maximum(np.searchsorted(start, ends) - 1, 0), len(start) - 1)] = True
+        last = np.concatenate([doc[1:] != doc[:-1], [True]])
+        return {
+            "word": ~digit & ~han & ((vowels[end] - vowels[start] > 0) | (size == 1)) & (size <= 30), "short": size <= 3, "long": size >= 5,
+            "digit": digit, "symbol": (symbols[after] - symbols[end] > 0) | (solid[after] - solid[end] > 4), "comma": commas[after] - commas[end] > 0,
+            "line": np.concatenate([line[1:] != line[:-1], [False]]) & ~last, "stop": stop, "hash": self._keys(low, start, end) * np.uint64(_PRIME),
+        }
+
     def chunk(self, texts: list[str]) -> dict[str, np.ndarray]:
         """Counts of each of some texts, which are measured side by side."""
         parts = [clean(t) for t in texts]
@@ -263,6 +319,12 @@ class Statistics:
         solid = np.concatenate([[0], np.cumsum(~white)])
         per = lambda d, w=None: np.bincount(d, w, docs)
         prose = np.zeros(docs)
+        full_doc = lay.doc[lay.full]
+        lines = np.bincount(full_doc, minlength=docs)
+        indents = indent_counts(lay.indents, full_doc, docs)
+        auto = autocorrelation(lay.widths.astype(float), full_doc, docs)
+        layout = (indent_period(indents, lines) > 0) | (auto > AUTO) | (np.bincount(full_doc, lay.aligned[lay.full], docs) > 0.5 * lines)
+        layout &= lines >= LAYOUT_LINES
         if n:
             line = np.searchsorted(lay.end, start, "left")
             bonus = np.zeros(n + 1)
@@ -272,7 +334,8 @@ class Statistics:
             bonus[np.searchsorted(start, lay.start[lay.blank])] = _BONUS[1]
             bonus[1:-1][doc[1:] != doc[:-1]] = _BONUS[1]
             bonus[[0, -1]] = _BONUS[1]
-            mask = prose_mask(ids, lay.structured[line], bonus, doc)
+            laid = lay.structured | layout[lay.doc]
+            mask = prose_mask(ids, laid[line], bonus, doc, self._form(codes, low, start, end, line, doc, ends))
             gap = solid[np.concatenate([start[1:], [len(codes)]])] - solid[end]
             both = np.zeros(n, bool)
             both[:-1] = mask[:-1] & mask[1:] & (doc[1:] == doc[:-1])
@@ -285,8 +348,7 @@ class Statistics:
             "chars": chars, "words": per(doc), "letters": per(doc, end - start), "digits": digits[bounds[1:]] - digits[bounds[:-1]],
             "lines": per(lay.doc[lay.full]), "ended": per(lay.doc[lay.ended]), "common": per(doc[(ids >= 0) & (ids < 1000)]),
             "aligned": per(lay.doc[lay.aligned]), "listed": per(lay.doc[lay.listed]),
-            "period": indent_period(lay.indents, lay.doc[lay.full], docs),
-            "auto": autocorrelation(lay.widths.astype(float), lay.doc[lay.full], docs), "prose": np.minimum(prose, chars),
+            "auto": auto, "prose": np.minimum(prose, chars), **{f"indent{i}": row for i, row in enumerate(indents)},
         }
 
     def of(self, texts: list[str]) -> pd.DataFrame:
@@ -304,13 +366,14 @@ class Statistics:
             chunks.append(self.chunk(now))
         parts = pd.DataFrame({k: np.concatenate([c[k] for c in chunks]) if chunks else [] for k in _COUNTS})
         parts["auto"] *= parts["lines"]
-        t = parts.groupby(np.asarray(owner, np.int64)).agg({k: "first" if k == "period" else "sum" for k in _COUNTS})
+        t = parts.groupby(np.asarray(owner, np.int64)).sum()
+        period = indent_period(np.stack([t[f"indent{i}"].to_numpy() for i in range(1 + 2 * len(_LAGS))]), t["lines"].to_numpy())
         some = t["chars"] > 0
         w, n, c = t["words"].clip(lower=1), t["lines"].clip(lower=1), t["chars"].clip(lower=1)
         out = pd.DataFrame({
             "n_chars": t["chars"], "n_words": t["words"], "mean_word_length": t["letters"] / w, "symbol_ratio": (t["chars"] - t["letters"]) / c,
             "digit_ratio": t["digits"] / c, "n_lines": t["lines"], "line_end_punctuation": t["ended"] / n, "common_word_share": t["common"] / w,
-            "delimiter_alignment": t["aligned"] / n, "list_line_share": t["listed"] / n, "indent_period": t["period"],
+            "delimiter_alignment": t["aligned"] / n, "list_line_share": t["listed"] / n, "indent_period": period,
             "line_autocorrelation": t["auto"] / n, "prose_share": t["prose"] / c,
         })
         ratios = [x for x in out.columns if not x.startswith("n_") and x != "indent_period"]
@@ -326,7 +389,7 @@ def text_statistics(documents: DataFrame, common_words: DataFrame, doc_id: str =
     ``common_words`` has the column ``word``; it is a fixed list of some hundred words, and refused if it has
     more than 100,000. Null and blank texts have no words and null ratios. Characters are counted without
     white space and after compatibility composition. Texts above a million characters are measured in parts
-    of that size. The columns are those of ``_COLUMNS``.
+    of that size, cut at ends of lines if there are any, and the counts of the parts added up. The columns are those of ``_COLUMNS``.
     """
     known = [r[0] for r in common_words.select(F.lower("word")).where("word is not null").distinct().limit(100_001).collect()]
     if len(known) > 100_000:

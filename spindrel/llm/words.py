@@ -26,12 +26,12 @@ def clean(text: str) -> str:
 
 
 def slices(text: str, size: int = SLICE) -> Iterator[str]:
-    """Consecutive parts of a long text, cut at white space, so that no word is cut."""
+    """Consecutive parts of a long text, cut at the next end of a line or else at white space, so that no word is cut."""
     at, n = 0, len(text)
-    space = re.compile(r"\s")
+    space, line = re.compile(r"\s"), re.compile(r"\n")
     while at < n:
         end = n
-        if n - at > size and (m := space.search(text, at + size)):
+        if n - at > size and (m := line.search(text, at + size, at + size + size // 8) or space.search(text, at + size)):
             end = m.end()
         yield text[at:end]
         at = end

@@ -38,6 +38,35 @@ def test_junk_is_not(statistics):
     assert max(share(statistics, table, log, soup, noise, config, menu, items, refs, "样本：无\n组织\t87\n" * 9)) < 0.3
 
 
+LOW = "We tested all samples twice. Results matched earlier reports. Several groups observed similar patterns. Their findings support wider testing. Researchers expect further progress soon."
+PL = "Dzisiaj rano poszliśmy do lasu, żeby zebrać grzyby. Było bardzo zimno, ale słońce świeciło mocno. Po kilku godzinach wróciliśmy do domu z pełnymi koszami."
+RU = "Сегодня утром мы пошли в лес собирать грибы. Было очень холодно, но солнце светило ярко. Через несколько часов мы вернулись домой с полными корзинами."
+
+
+def test_sentences_without_listed_words(statistics):
+    wrapped = "\n".join(" ".join(PL.split()[i : i + 5]) for i in range(0, 25, 5))
+    assert min(share(statistics, LOW, PL, RU, wrapped)) > 0.8
+    assert min(share(prose.Statistics([]), LOW, PL, RU)) > 0.8
+
+
+def test_layout_speaks_against_sentences(statistics):
+    words = [w.strip(".,") for w in (PL + " " + LOW + " " + RU).split()]
+    cells = lambda sep: "\n".join(sep.join(words[i : i + 4]) + "." for i in range(0, 64, 4))
+    lines = [" ".join(words[i : i + 6]) + "." for i in range(0, 66, 6)]
+    periodic = "\n".join(("    " if i % 3 else "") + x for i, x in enumerate(lines))
+    assert share(statistics, "\n".join(lines))[0] > 0.8
+    assert max(share(statistics, cells(" | "), cells("\t"), periodic)) < 0.5
+    assert statistics.of([periodic]).iloc[0]["indent_period"] == 3
+    rising = "\n".join(sorted(lines, key=len)) + "\n" + "\n".join(sorted(lines[:3] * 2, key=len))
+    assert statistics.of([rising]).iloc[0]["line_autocorrelation"] > 0.3
+
+
+def test_long_texts_keep_their_period(statistics):
+    text = "".join("key:\n  a: 1\n  b: 2\n" for _ in range(70_000))
+    row = statistics.of([text]).iloc[0]
+    assert row["indent_period"] == 3 and row["n_lines"] == 210_000 and len(text) > prose.SLICE
+
+
 def test_mixtures_get_their_share(statistics):
     table = "\n".join(f"{i}\tG{i}\t0.{i}\t{i * 7}" for i in range(60))
     low, high = share(statistics, EN + "\n\n" + table, EN * 9 + "\n\n" + table)
