@@ -1,36 +1,46 @@
 """Evaluation texts leaking into training text.
 
-Items are cut into windows of ``WINDOW`` words, or of all their words if they have fewer, and every
-document into all windows of the same sizes. Each window has a 64-bit SimHash of its words. A fingerprint
-is split into ``radius + 1`` blocks: two fingerprints that differ in at most ``radius`` bits agree in one
-block, so that looking up every block finds all pairs within the radius. The pairs are verified by the exact
-similarity of their shingles, weighted by rarity among the items, and by comparing the words themselves.
+Items are cut into windows of two kinds, and every document into all windows of the same sizes. Short windows, of
+``WINDOW`` words at every place of the item (of all its words if it has fewer), find the passages that are there word for
+word. Item-sized windows, of the largest of ``SIZES`` that the item has words for and a quarter of it apart, find
+longer passages with changes. Each window has a 64-bit SimHash of its words, cut into blocks; two fingerprints that
+differ in at most ``radius`` bits have a block in which they differ in ``radius // blocks`` at most. The index
+holds each block's value and all values so near to it, so that looking up every block of a window finds
+all fingerprints within the radius. Windows of the same words are one entry, however often they occur. Pairs
+are verified by the exact similarity of their shingles, weighted by rarity among all items, and by their words.
+
+A short window has eight shingles of five words. Without one of them the similarity is below 0.8, so that its radius is small;
+the radius of item-sized windows is large.
 
 Items are few and known, documents many: the index of a block of items, whose size is bounded, is sent
-to the workers, and one pass over the documents answers it without any shuffle. More items than a block
-holds make more passes.
+to the workers, and one pass over the documents answers all blocks, one after the other for each batch, without a shuffle.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindrel.llm.words import WordHash, words
+from spindrel.llm.words import WordHash
+from spindrel.runtime import checkpoint
 
 WINDOW = 12
-RADIUS = 1
+SIZES = (24, 48, 96, 192)
+SHORT_RADIUS, RADIUS = 1, 7
+SHORT_BLOCKS, BLOCKS = 2, 4
 SHINGLE = 5
 SIMILARITY = 0.8
 BLOCK_CHARS = 8_000_000
 _CHUNK = 1 << 15
-_FILTER_BITS = 22
+_FILTER_BITS = 20
 _OUT = "doc_id bigint, item_id bigint, n_windows bigint, n_exact bigint, similarity double, item_share double"
 
 
@@ -52,118 +62,206 @@ def simhashes(sums: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(counts > size // 2, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
-def block_masks(radius: int) -> list[tuple[int, int]]:
-    """Shift and mask of the ``radius + 1`` blocks of a fingerprint."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, (1 << (b - a)) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+def block_masks(blocks: int) -> list[tuple[int, int]]:
+    """Shift and width of the blocks of a fingerprint."""
+    edges = [64 * i // blocks for i in range(blocks + 1)]
+    return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-class LeakIndex:
-    """Windows of a block of items and their fingerprints."""
+def _digest(hashes: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(hashes.tobytes())
 
-    def __init__(self, items: list[tuple[int, str | None]], window: int, radius: int, shingle: int) -> None:
-        self.radius, self.shingle = radius, shingle
-        self.ids, self.texts = [], []
-        for item_id, text in items:
-            if w := words(text):
-                self.ids.append(item_id)
-                self.texts.append(w)
-        hash_ = WordHash()
-        self.hashes = [hash_.of([x.encode("utf-8", "surrogatepass") for x in w]) for w in self.texts]
-        shingles = [{tuple(w[i : i + shingle]) for i in range(max(len(w) - shingle + 1, 1))} for w in self.texts]
-        found_in = Counter(s for own in shingles for s in own)
-        self.weight = {s: math.log(1 + len(self.texts) / n) for s, n in found_in.items()}
-        self.unseen = math.log(1 + len(self.texts)) if self.texts else 1.0
-        self.sizes: dict[int, dict] = {}
-        by_size: dict[int, list[int]] = {}
-        for k, w in enumerate(self.texts):
-            by_size.setdefault(min(window, len(w)), []).append(k)
-        for size, own in sorted(by_size.items()):
-            prints = [simhashes(bit_sums(self.hashes[k]), size) for k in own]
-            item = np.repeat(own, [len(p) for p in prints])
-            offset = np.concatenate([np.arange(len(p)) for p in prints])
-            fp = np.concatenate(prints)
-            tables = []
-            for shift, mask in block_masks(radius):
-                block = (fp >> np.uint64(shift)) & np.uint64(mask)
-                order = np.argsort(block, kind="stable")
-                seen = np.zeros(1 << _FILTER_BITS, bool)
-                seen[block & np.uint64((1 << _FILTER_BITS) - 1)] = True
-                tables.append((shift, mask, block[order], order, np.packbits(seen)))
-            self.sizes[size] = {"fp": fp, "item": item, "offset": offset, "tables": tables}
-
-    def candidates(self, fp: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs (window of the document, window of the index) within the radius."""
-        at = self.sizes[size]
+
+def shingles(hashes: np.ndarray, size: int) -> list[int]:
+    """A hash of every run of ``size`` words (of all words if there are fewer)."""
+    k = min(size, len(hashes))
+    return [_digest(hashes[i : i + k]) for i in range(len(hashes) - k + 1)] if k else []
+
+
+class Windows:
+    """The windows of one size: each content once, by fingerprint."""
+
+    def __init__(self, size: int, texts: list[np.ndarray], places: list[tuple[int, int]], radius: int, blocks: int) -> None:
+        self.size, self.radius = size, radius
+        self.owners: list[list[tuple[int, int]]] = []  # content -> items and offsets
+        known: dict[int, int] = {}
+        prints: dict[int, np.ndarray] = {}
+        fp: list[int] = []
+        for k, o in places:
+            text = texts[k]
+            at = known.setdefault(_digest(text[o : o + size]), len(self.owners))
+            if at == len(self.owners):
+                if k not in prints:
+                    prints[k] = simhashes(bit_sums(text), size)
+                self.owners.append([])
+                fp.append(int(prints[k][o]))
+            self.owners[at].append((k, o))
+        self.content = {v: h for h, v in known.items()}
+        prints_ = np.array(fp, np.uint64)
+        order = np.argsort(prints_, kind="stable")
+        self.fp, first = np.unique(prints_[order], return_index=True)
+        self.held = np.split(order, first[1:]) if len(order) else []  # fingerprint -> contents
+        self.tables = []
+        for shift, width in block_masks(blocks):
+            value = (self.fp >> np.uint64(shift)) & np.uint64((1 << width) - 1)
+            flips = [0] + [sum(1 << x for x in c) for n in range(1, radius // blocks + 1) for c in itertools.combinations(range(width), n)]
+            values = np.concatenate([value ^ np.uint64(x) for x in flips])
+            entry = np.tile(np.arange(len(self.fp)), len(flips))
+            order = np.argsort(values, kind="stable")
+            seen = np.zeros(1 << _FILTER_BITS, bool)
+            seen[(values & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
+            self.tables.append((shift, (1 << width) - 1, values[order], entry[order], seen))
+
+    def hopeful(self, fp: np.ndarray) -> np.ndarray:
+        """Places of the fingerprints of which some block may be in the index."""
+        hit = np.zeros(len(fp), bool)
+        for shift, mask, _, _, seen in self.tables:
+            hit |= seen[((fp >> np.uint64(shift)) & np.uint64(mask & ((1 << _FILTER_BITS) - 1))).astype(np.int64)]
+        return np.flatnonzero(hit)
+
+    def candidates(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of a given fingerprint and one of the index (as places in both) within the radius."""
         left, right = [], []
-        for shift, mask, values, order, seen in at["tables"]:
+        for shift, mask, values, entry, seen in self.tables:
             block = (fp >> np.uint64(shift)) & np.uint64(mask)
-            low = (block & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)
-            some = np.flatnonzero(seen[low >> 3] & (np.uint8(128) >> (low & 7).astype(np.uint8)))
+            some = np.flatnonzero(seen[(block & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)])
             if not len(some):
                 continue
             first = np.searchsorted(values, block[some], "left")
             n = np.searchsorted(values, block[some], "right") - first
-            if not n.sum():
-                continue
-            left.append(np.repeat(some, n))
-            right.append(order[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())])
+            a = np.repeat(some, n)
+            b = entry[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            near = np.bitwise_count(fp[a] ^ self.fp[b]) <= self.radius
+            left.append(a[near])
+            right.append(b[near])
         if not left:
             return np.empty(0, int), np.empty(0, int)
-        a, b = np.concatenate(left), np.concatenate(right)
-        near = np.bitwise_count(fp[a] ^ at["fp"][b]) <= self.radius
-        pairs = np.unique(np.stack([a[near], b[near]], axis=1), axis=0)
+        pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0)
         return pairs[:, 0], pairs[:, 1]
 
-    def similarity(self, a: list[str], b: list[str]) -> float:
-        """Weighted Jaccard similarity of the shingles of two windows."""
-        if a == b:
+
+class LeakIndex:
+    """The windows of a block of items. ``counts`` has the number of items with each shingle, ``n_items`` that of all items."""
+
+    def __init__(
+        self, items: list[tuple[int, str | None]], window: int = WINDOW, radius: int = RADIUS, shingle: int = SHINGLE,
+        counts: dict[int, int] | None = None, n_items: int | None = None, sizes: tuple[int, ...] = SIZES,
+    ) -> None:
+        self.shingle = shingle
+        hash_ = WordHash()
+        self.ids, self.texts = [], []
+        for item_id, text in items:
+            if len(h := hash_.array(text)):
+                self.ids.append(item_id)
+                self.texts.append(h)
+        counts = Counter(s for t in self.texts for s in set(shingles(t, shingle))) if counts is None else counts
+        n_items = len(self.texts) if n_items is None else n_items
+        self.weight = {s: math.log(1 + n_items / n) for s, n in counts.items()}
+        self.unseen = math.log(1 + n_items) if n_items else 1.0
+        short: dict[int, list[tuple[int, int]]] = {}
+        long: dict[int, list[tuple[int, int]]] = {}
+        for k, t in enumerate(self.texts):
+            n = len(t)
+            size = min(window, n)
+            short.setdefault(size, []).extend((k, o) for o in range(n - size + 1))
+            if size := max((x for x in sizes if window < x <= n), default=0):
+                long.setdefault(size, []).extend((k, o) for o in sorted({*range(0, n - size + 1, size // 4), n - size}))
+        self.windows = [Windows(x, self.texts, at, min(SHORT_RADIUS, radius), SHORT_BLOCKS) for x, at in sorted(short.items())]
+        self.windows += [Windows(x, self.texts, at, radius, BLOCKS) for x, at in sorted(long.items())]
+
+    def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
+        """Weighted Jaccard similarity of the shingles of two windows, given as hashes of their words."""
+        if np.array_equal(a, b):
             return 1.0
-        k = min(self.shingle, len(b))
-        cut = lambda w: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
-        x, y = cut(a), cut(b)
-        total = {s: self.weight.get(s, self.unseen) for s in x | y}
-        return sum(total[s] * n for s, n in (x & y).items()) / sum(total[s] * n for s, n in (x | y).items())
+        x, y = Counter(shingles(a, self.shingle)), Counter(shingles(b, self.shingle))
+        weigh = lambda c: sum(self.weight.get(s, self.unseen) * n for s, n in c.items())
+        return weigh(x & y) / weigh(x | y)
 
 
-def _scan(index: LeakIndex, ids: np.ndarray, texts: list, minimum: float, hash_: WordHash) -> list[tuple]:
-    """Verified pairs of a batch of documents."""
-    per_doc = [hash_.array(t) for t in texts]
-    lengths = np.array([len(x) for x in per_doc])
+def _scan(index: LeakIndex, ids: np.ndarray, per_doc: list[np.ndarray], minimum: float) -> list[tuple]:
+    """Verified pairs of a batch of documents, given as hashes of their words."""
     hashes = np.concatenate(per_doc) if per_doc else np.empty(0, np.uint64)
-    doc = np.repeat(np.arange(len(texts)), lengths)
-    starts = np.cumsum(lengths) - lengths
-    found: dict[int, list[tuple[int, int, int]]] = {}  # document -> (size, place in it, window)
-    longest = max(index.sizes, default=0)
+    lengths = np.array([len(x) for x in per_doc], np.int64)
+    doc = np.repeat(np.arange(len(per_doc)), lengths)
+    found: dict[tuple[int, int], list] = {}  # document and item -> places, exact places, similarity, words of the item
+    longest = max((w.size for w in index.windows), default=0)
     for a in range(0, len(hashes), _CHUNK):
         part = hashes[a : a + _CHUNK + longest - 1]
         sums = bit_sums(part)
-        for size in index.sizes:
+        for w in index.windows:
+            size = w.size
             if len(part) < size:
                 continue
             fp = simhashes(sums, size)[:_CHUNK]
-            own = doc[a : a + len(fp)]
-            at, to = index.candidates(fp, size)
-            inside = own[at] == doc[a + at + size - 1]
-            for i, w in zip((a + at)[inside].tolist(), to[inside].tolist(), strict=True):
-                found.setdefault(int(doc[i]), []).append((size, i - int(starts[doc[i]]), w))
+            inside = w.hopeful(fp)
+            inside = inside[doc[a + inside] == doc[a + size - 1 + inside]]
+            some, which = np.unique(fp[inside], return_inverse=True)  # a fingerprint is looked up once
+            at, to = w.candidates(some)
+            if not len(at):
+                continue
+            near = np.isin(which, at)
+            of: dict[int, list[int]] = {}
+            for x, y in zip(at.tolist(), to.tolist(), strict=True):
+                of.setdefault(x, []).append(y)
+            verified: dict[int, list[tuple[int, float]]] = {}  # content of a document's window -> contents of the index
+            for i, x in zip((a + inside[near]).tolist(), which[near].tolist(), strict=True):
+                own = hashes[i : i + size]
+                if (key := _digest(own)) not in verified:
+                    verified[key] = []
+                    for c in (c for y in of[x] for c in w.held[y].tolist()):
+                        k, o = w.owners[c][0]
+                        if (sim := index.similarity(own, index.texts[k][o : o + size])) >= minimum:
+                            verified[key].append((c, sim))
+                d = int(doc[i])
+                for c, sim in verified[key]:
+                    for k in {k for k, _ in w.owners[c]}:
+                        one = found.setdefault((d, k), [set(), set(), 0.0, set()])
+                        one[0].add(i)
+                        if sim == 1.0 and w.content[c] == key:
+                            one[1].add(i)
+                        one[2] = max(one[2], sim)
+                        one[3].add((size, c))
     out = []
-    for d, pairs in found.items():
-        text, per_item = words(texts[d]), {}
-        for size, i, w in pairs:
-            at = index.sizes[size]
-            k, o = int(at["item"][w]), int(at["offset"][w])
-            a, b = text[i : i + size], index.texts[k][o : o + size]
-            if (s := index.similarity(a, b)) >= minimum:
-                one = per_item.setdefault(k, [0, 0, 0.0, set()])
-                one[0] += 1
-                one[1] += a == b
-                one[2] = max(one[2], s)
-                one[3].update(range(o, o + size))
-        out += [(ids[d], index.ids[k], n, exact, s, len(of) / len(index.texts[k])) for k, (n, exact, s, of) in per_item.items()]
+    sized = {w.size: w for w in index.windows}
+    for (d, k), (places, exact, sim, contents) in found.items():
+        covered = np.zeros(len(index.texts[k]), bool)
+        for size, c in contents:
+            for j, o in sized[size].owners[c]:
+                if j == k:
+                    covered[o : o + size] = True
+        out.append((ids[d], index.ids[k], len(places), len(exact), sim, float(covered.mean())))
     return out
 
 
+def _shingles_of(known: DataFrame, shingle: int) -> DataFrame:
+    """``b, h``: the distinct shingles of each item of ``known(i, t, b)``, with the number of its block."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hash_ = WordHash()
+        for batch in batches:
+            rows = [(b, x - (1 << 63)) for b, t in zip(batch["b"], batch["t"], strict=True) for x in set(shingles(hash_.array(t), shingle))]
+            yield pd.DataFrame(rows, columns=["b", "h"]).astype("int64")
+
+    return known.select("b", "t").mapInPandas(cut, "b bigint, h bigint")
+
+
+def _indexes(known: DataFrame, window: int, radius: int, shingle: int, block_chars: int) -> Iterator[LeakIndex]:
+    """The index of each block of items, one at a time."""
+    n, chars = known.agg(F.count(F.lit(1)), F.sum(F.length("t"))).first()
+    blocks = max(math.ceil((chars or 0) / block_chars), 1)
+    block = F.pmod(F.xxhash64("i", "t"), F.lit(blocks))  # about block_chars characters
+    if blocks > 1:
+        each = checkpoint(_shingles_of(known.withColumn("b", block), shingle))
+        counts = each.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    for b in range(blocks):
+        items = [(r[0], r[1]) for r in known.where(block == b).orderBy("i", "t").toLocalIterator()]
+        if blocks == 1:
+            yield LeakIndex(items, window, radius, shingle)
+        else:
+            own = each.where(F.col("b") == b).select("h").distinct().join(counts, "h")
+            yield LeakIndex(items, window, radius, shingle, {r[0] + (1 << 63): r[1] for r in own.toLocalIterator()}, n)
+
+
 def find_leaks(
     documents: DataFrame,
     items: DataFrame,
@@ -174,31 +272,30 @@ def find_leaks(
     window: int = WINDOW,
     radius: int = RADIUS,
     minimum: float = SIMILARITY,
+    shingle: int = SHINGLE,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """Pairs of a document and an item that share a passage of ``window`` words.
+    """Pairs of a document and an item that share a passage: ``window`` words as they are, or an item-sized window of
+    at least ``minimum`` similarity whose fingerprint is within ``radius``.
 
-    A row has the number of matching window pairs, of those that agree word for word (``n_exact``), the
-    highest similarity and the share of the item's words within matches. Null and blank texts, texts
-    without words and documents shorter than a window match nothing; an empty table gives an empty result.
-    Repeated documents come out as often as they are there, repeated items once for each.
+    A row has the number of places in the document that match, of those that agree word for word (``n_exact``; words are
+    compared by 64-bit hashes), the highest similarity and the share of the item's words within matches. Null and
+    blank texts, texts without words and documents shorter than a window match nothing; an empty table gives an empty
+    result. Repeated documents come out as often as they are there, repeated items once for each.
     """
     spark = documents.sparkSession
     docs = documents.select(F.col(doc_id).cast("bigint").alias("d"), F.col(text).cast("string").alias("t")).where(F.length("t") > 0)
     known = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).cast("string").alias("t")).where(F.length("t") > 0)
-    blocks = max(math.ceil((known.agg(F.sum(F.length("t"))).first()[0] or 0) / block_chars), 1)
-    out = None
-    for b in range(blocks):
-        own = known.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)  # about block_chars characters
-        index = LeakIndex([(r[0], r[1]) for r in own.orderBy("i", "t").toLocalIterator()], window, radius, SHINGLE)
-        sent = spark.sparkContext.broadcast(index)
-
-        def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-            hash_ = WordHash()
-            for batch in batches:
-                rows = _scan(sent.value, batch["d"].to_numpy(object), batch["t"].tolist(), minimum, hash_)
+    sent = [spark.sparkContext.broadcast(index) for index in _indexes(known, window, radius, shingle, block_chars)]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hash_ = WordHash()
+        for batch in batches:
+            per_doc = [hash_.array(t) for t in batch["t"]]
+            for index in sent:
+                rows = _scan(index.value, batch["d"].to_numpy(object), per_doc, minimum)
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_windows", "n_exact", "similarity", "item_share"])
+                if len(sent) > 1:  # one block in memory at a time
+                    index.__dict__.pop("_value", None)
 
-        part = docs.mapInPandas(scan, _OUT)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return docs.mapInPandas(scan, _OUT)

@@ -25,18 +25,53 @@ def test_simhash_of_windows(size):
         assert int(fp) == sum(v << b for b, v in enumerate(bits))
 
 
-@pytest.mark.parametrize("radius", [0, 1, 3])
-def test_blocks_find_all_within_radius(radius):
+@pytest.mark.parametrize(("radius", "blocks"), [(0, 2), (1, 2), (3, 4), (7, 4), (9, 4)])
+def test_blocks_find_all_within_radius(radius, blocks):
     rng = random.Random(radius)
-    index = leaks.LeakIndex([(k, " ".join(f"w{rng.randrange(40)}" for _ in range(30))) for k in range(20)], 12, radius, 5)
-    own = index.sizes[12]["fp"]
-    probes = own.copy()
+    hash_ = words.WordHash()
+    texts = [hash_.array(" ".join(f"w{rng.randrange(40)}" for _ in range(30))) for _ in range(20)]
+    index = leaks.Windows(12, texts, [(k, o) for k in range(20) for o in range(19)], radius, blocks)
+    probes = index.fp.copy()
     for i in range(len(probes)):
         for b in rng.sample(range(64), radius + i % 2):
             probes[i] ^= np.uint64(1 << b)
-    a, b = index.candidates(probes, 12)
-    near = {(i, j) for i in range(len(probes)) for j in range(len(own)) if bin(int(probes[i]) ^ int(own[j])).count("1") <= radius}
-    assert set(zip(a.tolist(), b.tolist(), strict=True)) == near
+    a, b = index.candidates(probes)
+    near = {(i, j) for i in range(len(probes)) for j in range(len(index.fp)) if bin(int(probes[i]) ^ int(index.fp[j])).count("1") <= radius}
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == near and set(a.tolist()) <= set(index.hopeful(probes).tolist())
+
+
+def changed(rng, text, every):
+    return [f"x{rng.randrange(9999)}" if i % every == every // 2 else w for i, w in enumerate(text)]
+
+
+@pytest.mark.parametrize("every", [200, 60, 45, 30, 15, 6])
+def test_recall_of_changed_passages(every):
+    """Against all pairs of a window of the index and one of the document with a similarity of 0.8."""
+    rng = random.Random(every)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(rng.choice([30, 60, 110, 210]))] for _ in range(60)]
+    index = leaks.LeakIndex([(i, " ".join(t)) for i, t in enumerate(items)])
+    hash_ = words.WordHash()
+    noise = lambda n: [f"n{rng.randrange(3000)}" for _ in range(n)]
+    docs = [hash_.array(" ".join(noise(20) + changed(rng, t, every) + noise(20))) for t in items]
+    got = {(d, i) for d, i, *_ in leaks._scan(index, np.arange(len(docs)), docs, leaks.SIMILARITY)}
+    want = set()
+    for d, x in enumerate(docs):
+        k = d  # the other items share next to nothing with it
+        for w in index.windows:
+            for owners in w.owners:
+                for j, o in owners:
+                    if j == k and any(index.similarity(x[a : a + w.size], index.texts[k][o : o + w.size]) >= leaks.SIMILARITY for a in range(max(20 + o - 6, 0), min(20 + o + 7, len(x) - w.size + 1))):
+                        want.add((d, k))
+    assert len(got & want) >= 0.9 * len(want) and got <= want | {(d, d) for d in range(len(docs))}
+    assert every == 6 or len(want) > 5
+
+
+def test_repeated_words_make_no_pairs():
+    text = "one two " * 3000
+    index = leaks.LeakIndex([(1, text), (2, "one two " * 6)])
+    assert max(len(w.owners) for w in index.windows) <= 2
+    out = leaks._scan(index, np.array([7]), [words.WordHash().array(text)], leaks.SIMILARITY)
+    assert {(d, i, s, share) for d, i, _, _, s, share in out} == {(7, 1, 1.0, 1.0), (7, 2, 1.0, 1.0)}
 
 
 def brute(docs, items, window=12):
@@ -68,7 +103,8 @@ def test_against_brute_force(spark, block_chars):
         docs.append((d, "\u200b, ".join(x.upper() if rng.random() < 0.3 else x for x in w)))
     docs += [(200, None), (201, ""), docs[3], (202, " ".join(line(40_000)) + " " + items[5][1])]
     frame = lambda rows, key: spark.createDataFrame([(*r, 0) for r in rows], f"{key} bigint, text string, n_exact int")
-    got = leaks.find_leaks(frame(docs, "doc_id"), frame(items, "item_id"), block_chars=block_chars).where("n_exact > 0")
+    every = leaks.find_leaks(frame(docs, "doc_id"), frame(items, "item_id"), block_chars=block_chars)
+    got = every.where("n_exact > 0")
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == brute(docs, items)
 
 
