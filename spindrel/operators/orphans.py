@@ -1,35 +1,37 @@
 """References to records that do not exist.
 
-A reference ``(ref, key, at)`` is an orphan if no life ``[start, end)`` of its key holds its time. Keys
-are cut into ranges of their hash. Each range's lives are two sorted arrays per key, starts and ends;
-a batch of references is answered by binary search, as the number of lives begun minus the number
-ended by its time. These numbers add up, so a range with too many lives or references, because of one
-hot key, is cut further: its references into ``r`` parts, its lives into ``p`` parts, every pair of parts
-is probed by a group of its own and the ``p`` answers of a reference are summed. No group exceeds the
-target by more than the unevenness of the hash.
+A reference ``(ref, key, at)`` is an orphan if no life ``[start, end)`` of its key holds its time. Lives and references
+are range-partitioned together by their key, with bounds that are sampled from the keys. Within a range, sorted by
+key, the lives of each key are two sorted arrays, starts and ends, and every batch of references is answered by
+binary search, as the number of lives begun minus the number ended by its time.
+
+These numbers add up, so a hot key is cut further: its references into ``r`` parts, its lives into ``p`` parts, and every
+pair of parts is a slot of its own with its place in the order, which can lie in another range. Only there, the ``p`` answers
+of a reference are summed. No slot exceeds the target by more than the unevenness of the hash.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrel.runtime import checkpoint
+from spindrel.runtime import checkpoint, task_count
 
 RANGES_MAX = 65_536
 _FOREVER = np.iinfo(np.int64).max
+_ANSWER = "rid string, key string, at bigint, parts int, live bigint"
 
 
 def _probe(lives: pd.DataFrame, refs: pd.DataFrame) -> np.ndarray:
-    """Lives of the reference's key that hold its time, for each reference."""
-    code, _ = pd.factorize(pd.concat([lives["key"], refs["key"]], ignore_index=True))
+    """Lives of the reference's key and slot that hold its time, for each reference."""
     n = len(lives)
+    code = pd.concat([lives[["key", "slot"]], refs[["key", "slot"]]], ignore_index=True).groupby(["key", "slot"], sort=False).ngroup().to_numpy()
     times, at = np.unique(
-        np.concatenate([lives["start"].to_numpy(), lives["end"].to_numpy(), refs["at"].to_numpy()]), return_inverse=True
+        np.concatenate([lives["start"].to_numpy(), lives["end"].to_numpy(), refs["start"].to_numpy()]), return_inverse=True
     )
     combined = lambda key, t: key.astype(np.int64) * (len(times) + 1) + t
     starts = np.sort(combined(code[:n], at[:n]))
@@ -41,11 +43,24 @@ def _probe(lives: pd.DataFrame, refs: pd.DataFrame) -> np.ndarray:
     return begun - ended
 
 
-def _group(lives: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
-    if not len(refs):
-        return pd.DataFrame({"rid": [], "parts": [], "live": []}).astype({"rid": "str", "parts": "int32", "live": "int64"})
-    out = pd.DataFrame({"rid": refs["rid"], "parts": refs["parts"], "live": _probe(lives, refs)})
-    return out[(out["live"] == 0) | (out["parts"] > 1)]
+def _range(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The answers of one range, sorted by key and slot with lives before references.
+
+    Of what came in earlier batches only the lives of the last key and slot are kept.
+    """
+    kept: pd.DataFrame | None = None
+    for b in batches:
+        if not len(b):
+            continue
+        is_ref = b["is_ref"].to_numpy(bool)
+        lives, refs = b[~is_ref], b[is_ref]
+        if kept is not None:
+            lives = pd.concat([kept, lives], ignore_index=True)
+        last = b.iloc[-1]
+        kept = lives[(lives["key"] == last["key"]) & (lives["slot"] == last["slot"])]
+        if len(refs):
+            out = pd.DataFrame({"rid": refs["rid"], "key": refs["key"], "at": refs["start"], "parts": refs["parts"], "live": _probe(lives, refs)})
+            yield out[(out["live"] == 0) | (out["parts"] > 1)]
 
 
 def _micros(c: Column) -> Column:
@@ -63,50 +78,43 @@ def orphan_references(
     end: Column,
     target_rows: int = 200_000,
 ) -> DataFrame:
-    """The ids (``rid``, as string) of references without a live target at their time.
+    """``rid`` (as string) and ``at`` of the references without a live target at their time.
 
-    ``ref_id`` must tell references apart. References with a null key are none; those with a null time
+    References are told apart by id, key and time. Those with a null key are none; those with a null time
     have no live target. A life with a null start never begins, one with a null end never ends, one that
     ends before or when it begins holds no time. Without any life every reference is an orphan.
     """
     spark = refs.sparkSession
-    r = refs.select(ref_id.cast("string").alias("rid"), ref_key.alias("key"), _micros(ref_at).alias("at")).where("key is not null")
-    timeless = r.where("at is null").select("rid")
-    r = checkpoint(r.where("at is not null"))  # both sides are counted, measured by range and probed
+    r = refs.select(ref_id.cast("string").alias("rid"), ref_key.cast("string").alias("key"), _micros(ref_at).alias("at")).where("key is not null").distinct()
+    r = checkpoint(r)  # both sides are measured by key and probed
     p = checkpoint(lives.select(
-        life_key.alias("key"), _micros(start).alias("start"), F.coalesce(_micros(end), F.lit(_FOREVER)).alias("end")
+        life_key.cast("string").alias("key"), _micros(start).alias("start"), F.coalesce(_micros(end), F.lit(_FOREVER)).alias("end")
     ).where("key is not null and start is not null and start < end").distinct())
+    timeless = r.where("at is null").select("rid", F.lit(None).cast("timestamp").alias("at"))
 
-    n_refs, n_lives = r.count(), p.count()
-    ranges = min(max(math.ceil((n_refs + n_lives) / target_rows), 1), RANGES_MAX)
-    range_of = F.pmod(F.xxhash64("key"), F.lit(ranges)).cast("int")
-    r, p = r.withColumn("range", range_of), p.withColumn("range", range_of)
-    sizes = (
-        r.groupBy("range").agg(F.count(F.lit(1)).alias("n_r"), F.lit(0).cast("bigint").alias("n_p"))
-        .unionByName(p.groupBy("range").agg(F.lit(0).cast("bigint").alias("n_r"), F.count(F.lit(1)).alias("n_p")))
-        .groupBy("range").agg(F.sum("n_r").alias("n_r"), F.sum("n_p").alias("n_p"))
-        .where((F.col("n_r") > 2 * target_rows) | (F.col("n_p") > 2 * target_rows))
-        .collect()
-    )  # at most (n_refs + n_lives) / (2 * target_rows) rows, and never more than RANGES_MAX
-    cuts = F.broadcast(
-        spark.createDataFrame(
-            [(x["range"], math.ceil(x["n_r"] / target_rows) or 1, math.ceil(x["n_p"] / target_rows) or 1) for x in sizes],
-            "range int, r_parts int, p_parts int",
-        )
-    )
     one = F.lit(1)
-    cut = lambda df: df.join(cuts, "range", "left").withColumns(
-        {"r_parts": F.coalesce("r_parts", one), "p_parts": F.coalesce("p_parts", one)}
-    )
+    per_key = lambda df, name: df.groupBy("key").agg(F.count(one).alias(name))
+    counts = per_key(r, "n_r").join(per_key(p, "n_p"), "key", "full").na.fill(0, ["n_r", "n_p"])
+    parts_of = lambda n: F.greatest(F.ceil(F.col(n) / target_rows), one).cast("int")
+    hot = counts.where(F.greatest("n_r", "n_p") > 2 * target_rows).select("key", parts_of("n_r").alias("r_parts"), parts_of("n_p").alias("p_parts"))
+    hot = F.broadcast(checkpoint(hot))  # a key in it has more than 2 * target_rows rows, so they are few
+    rows = r.count() + p.count()
+    ranges = min(max(-(-rows // target_rows), task_count(spark)), RANGES_MAX)
+
+    cut = lambda df: df.join(hot, "key", "left").na.fill(1, ["r_parts", "p_parts"])
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    r = cut(r).withColumn("r_part", F.pmod(F.xxhash64("rid", F.lit(5)), F.col("r_parts")).cast("int"))
-    r = r.select("range", "r_part", all_of("p_parts").alias("p_part"), "rid", "key", "at", F.col("p_parts").alias("parts"))
-    p = cut(p).withColumn("p_part", F.pmod(F.xxhash64("start", "end", F.lit(7)), F.col("p_parts")).cast("int"))
-    p = p.select("range", all_of("r_parts").alias("r_part"), "p_part", "key", "start", "end")
-    by = ["range", "r_part", "p_part"]
-    probed = p.groupBy(*by).cogroup(r.groupBy(*by)).applyInPandas(_group, "rid string, parts int, live bigint")
-    orphans = probed.groupBy("rid").agg(F.sum("live").alias("live")).where("live = 0").select("rid")
-    return orphans.unionByName(timeless.distinct())
+    slot = F.col("r_part") * F.col("p_parts") + F.col("p_part")
+    part = lambda of, n: F.pmod(of, F.col(n)).cast("int")
+    refs_ = cut(r.where("at is not null")).withColumn("r_part", part(F.xxhash64("rid", "at", F.lit(5)), "r_parts")).withColumn("p_part", all_of("p_parts"))
+    lives_ = cut(p).withColumn("p_part", part(F.xxhash64("start", "end", F.lit(7)), "p_parts")).withColumn("r_part", all_of("r_parts"))
+    both = refs_.select("rid", "key", slot.alias("slot"), F.col("p_parts").alias("parts"), F.col("at").alias("start"), F.lit(0).cast("bigint").alias("end"), F.lit(True).alias("is_ref"))
+    both = both.unionByName(lives_.select(F.lit(None).cast("string").alias("rid"), "key", slot.alias("slot"), F.col("p_parts").alias("parts"), "start", "end", F.lit(False).alias("is_ref")))
+    ranged = both.repartitionByRange(ranges, "key", "slot").sortWithinPartitions("key", "slot", "is_ref")
+    answers = ranged.mapInPandas(_range, _ANSWER)
+    if not hot.isEmpty():
+        answers = answers.groupBy("rid", "key", "at").agg(F.sum("live").alias("live")).where("live = 0")
+    found = answers.select("rid", F.timestamp_micros("at").alias("at"))
+    return found.unionByName(timeless)
 
 
 def orphan_report(orphans: DataFrame, table: Column, at: Column) -> DataFrame:

@@ -11,24 +11,24 @@ from spindrel.operators.orphans import orphan_references, orphan_report
 from spindrel.runtime import filled, fold, strip, table
 
 ROOT = "projects/"
+#: One letter for each table, as a capital where the reference has no id.
+CODES = {"paper_entry": "p", "supplement_file": "s", "kb_source": "k"}
 
 
 def references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """All references as ``(rid, ref_table, ref_id, key, at)`` and all lives as ``(key, start, end)``."""
+    """All references as ``(rid, key, at)`` and all lives as ``(key, start, end)``."""
     papers = table(spark, d, "paper_entry").distinct().where(filled("insights_path"))
     supplements = table(spark, d, "supplement_file").distinct().where(filled("path"))
     sources = table(spark, d, "kb_source").distinct().where(filled("kb_id"))
     file_key = lambda path, base: F.concat(F.lit("file:"), locate(F.col(path), F.col(base), ROOT))
     kb_key = F.concat(F.lit("kb:"), fold("kb_id"))
     pick = lambda df, name, ref_id, key, at: df.select(
-        F.lit(name).alias("ref_table"), F.col(ref_id).cast("string").alias("ref_id"), key.alias("key"), F.col(at).alias("at")
+        F.coalesce(F.concat(F.lit(CODES[name]), F.col(ref_id).cast("string")), F.lit(CODES[name].upper())).alias("rid"), key.alias("key"), F.col(at).alias("at")
     )
     refs = (
         pick(papers, "paper_entry", "paper_id", file_key("insights_path", "paper_dir"), "registered_at")
         .unionByName(pick(supplements, "supplement_file", "supp_id", file_key("path", "dir"), "recorded_at"))
         .unionByName(pick(sources, "kb_source", "kb_ref_id", kb_key, "recorded_at"))
-        .distinct()
-        .withColumn("rid", F.to_json(F.struct("ref_table", "ref_id", "key", "at")))
     )
     artifacts = table(spark, d, "artifact").select(
         F.concat(F.lit("file:"), resolve(strip("path"))).alias("key"), F.col("created_at").alias("start"), F.col("deleted_at").alias("end")
@@ -41,9 +41,10 @@ def references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     refs, lives = references(spark, d)
-    return orphan_references(refs, F.col("rid"), F.col("key"), F.col("at"), lives, F.col("key"), F.col("start"), F.col("end")).select(
-        F.from_json("rid", "ref_table string, ref_id string, at timestamp").alias("r")
-    ).select("r.*")
+    found = orphan_references(refs, F.col("rid"), F.col("key"), F.col("at"), lives, F.col("key"), F.col("start"), F.col("end"))
+    code = F.substring("rid", 1, 1)
+    name = F.create_map(*[F.lit(x) for t, c in CODES.items() for x in (c, t)])[F.lower(code)]
+    return found.select(name.alias("ref_table"), F.when(code == F.lower(code), F.expr("substring(rid, 2)")).alias("ref_id"), "at")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
