@@ -72,10 +72,16 @@ def _digest(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes())
 
 
-def shingles(hashes: np.ndarray, size: int) -> list[int]:
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash of every run of ``size`` words (of all words if there are fewer)."""
     k = min(size, len(hashes))
-    return [_digest(hashes[i : i + k]) for i in range(len(hashes) - k + 1)] if k else []
+    out = np.zeros(len(hashes) - k + 1 if k else 0, np.uint64)
+    for i in range(k):
+        out = (out ^ (out >> np.uint64(29))) * _FACTOR + hashes[i : i + len(out)]
+    return out
 
 
 class Windows:
@@ -108,36 +114,32 @@ class Windows:
             values = np.concatenate([value ^ np.uint64(x) for x in flips])
             entry = np.tile(np.arange(len(self.fp)), len(flips))
             order = np.argsort(values, kind="stable")
-            seen = np.zeros(1 << _FILTER_BITS, bool)
-            seen[(values & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-            self.tables.append((shift, (1 << width) - 1, values[order], entry[order], seen))
-
-    def hopeful(self, fp: np.ndarray) -> np.ndarray:
-        """Places of the fingerprints of which some block may be in the index."""
-        hit = np.zeros(len(fp), bool)
-        for shift, mask, _, _, seen in self.tables:
-            hit |= seen[((fp >> np.uint64(shift)) & np.uint64(mask & ((1 << _FILTER_BITS) - 1))).astype(np.int64)]
-        return np.flatnonzero(hit)
+            low = ((1 << min(width, _FILTER_BITS)) - 1)
+            seen = np.bincount((values & np.uint64(low)).astype(np.int64), minlength=low + 1) > 0
+            starts = np.searchsorted(values[order], np.arange(low + 2, dtype=np.uint64)) if width <= _FILTER_BITS else None
+            self.tables.append((shift, (1 << width) - 1, low, values[order], entry[order], seen, starts))
 
     def candidates(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs of a given fingerprint and one of the index (as places in both) within the radius."""
-        left, right = [], []
-        for shift, mask, values, entry, seen in self.tables:
+        codes = []
+        for shift, mask, low, values, entry, seen, starts in self.tables:
             block = (fp >> np.uint64(shift)) & np.uint64(mask)
-            some = np.flatnonzero(seen[(block & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)])
+            at = (block & np.uint64(low)).astype(np.int64)
+            some = np.flatnonzero(seen[at])
             if not len(some):
                 continue
-            first = np.searchsorted(values, block[some], "left")
-            n = np.searchsorted(values, block[some], "right") - first
+            if starts is None:
+                first = np.searchsorted(values, block[some], "left")
+                n = np.searchsorted(values, block[some], "right") - first
+            else:
+                first = starts[at[some]]
+                n = starts[at[some] + 1] - first
             a = np.repeat(some, n)
             b = entry[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
             near = np.bitwise_count(fp[a] ^ self.fp[b]) <= self.radius
-            left.append(a[near])
-            right.append(b[near])
-        if not left:
-            return np.empty(0, int), np.empty(0, int)
-        pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0)
-        return pairs[:, 0], pairs[:, 1]
+            codes.append(a[near] * len(self.fp) + b[near])
+        pairs = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.int64)
+        return pairs // max(len(self.fp), 1), pairs % max(len(self.fp), 1)
 
 
 class LeakIndex:
@@ -154,9 +156,12 @@ class LeakIndex:
             if len(h := hash_.array(text)):
                 self.ids.append(item_id)
                 self.texts.append(h)
-        counts = Counter(s for t in self.texts for s in set(shingles(t, shingle))) if counts is None else counts
+        counts = Counter(s for t in self.texts for s in set(shingles(t, shingle).tolist())) if counts is None else counts
         n_items = len(self.texts) if n_items is None else n_items
-        self.weight = {s: math.log(1 + n_items / n) for s, n in counts.items()}
+        self.known = np.array(sorted(counts), np.uint64)
+        self.weights = np.array([math.log(1 + n_items / counts[s]) for s in self.known.tolist()])
+        self.filter = np.zeros(1 << _FILTER_BITS, bool)
+        self.filter[(self.known & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
         self.unseen = math.log(1 + n_items) if n_items else 1.0
         short: dict[int, list[tuple[int, int]]] = {}
         long: dict[int, list[tuple[int, int]]] = {}
@@ -169,13 +174,24 @@ class LeakIndex:
         self.windows = [Windows(x, self.texts, at, min(SHORT_RADIUS, radius), SHORT_BLOCKS) for x, at in sorted(short.items())]
         self.windows += [Windows(x, self.texts, at, radius, BLOCKS) for x, at in sorted(long.items())]
 
+    def weigh(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of each shingle and whether some item has it."""
+        weight, known = np.full(len(found), self.unseen), np.zeros(len(found), bool)
+        some = np.flatnonzero(self.filter[(found & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)])
+        if len(some) and len(self.known):
+            at = np.minimum(np.searchsorted(self.known, found[some]), len(self.known) - 1)
+            hit = self.known[at] == found[some]
+            weight[some[hit]], known[some[hit]] = self.weights[at[hit]], True
+        return weight, known
+
     def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
         """Weighted Jaccard similarity of the shingles of two windows, given as hashes of their words."""
         if np.array_equal(a, b):
             return 1.0
-        x, y = Counter(shingles(a, self.shingle)), Counter(shingles(b, self.shingle))
-        weigh = lambda c: sum(self.weight.get(s, self.unseen) * n for s, n in c.items())
-        return weigh(x & y) / weigh(x | y)
+        x, y = (np.unique(shingles(w, self.shingle), return_counts=True) for w in (a, b))
+        both, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+        common = np.minimum(x[1][i], y[1][j]) @ self.weigh(both)[0]
+        return float(common / (x[1] @ self.weigh(x[0])[0] + y[1] @ self.weigh(y[0])[0] - common))
 
 
 def _scan(index: LeakIndex, ids: np.ndarray, per_doc: list[np.ndarray], minimum: float) -> list[tuple]:
@@ -185,39 +201,45 @@ def _scan(index: LeakIndex, ids: np.ndarray, per_doc: list[np.ndarray], minimum:
     doc = np.repeat(np.arange(len(per_doc)), lengths)
     found: dict[tuple[int, int], list] = {}  # document and item -> places, exact places, similarity, words of the item
     longest = max((w.size for w in index.windows), default=0)
+    verified: dict[tuple[int, int, int], float] = {}  # words of a document's window, size, content of the index
     for a in range(0, len(hashes), _CHUNK):
         part = hashes[a : a + _CHUNK + longest - 1]
         sums = bit_sums(part)
+        of_known = of_other = None
         for w in index.windows:
             size = w.size
             if len(part) < size:
                 continue
-            fp = simhashes(sums, size)[:_CHUNK]
-            inside = w.hopeful(fp)
-            inside = inside[doc[a + inside] == doc[a + size - 1 + inside]]
-            some, which = np.unique(fp[inside], return_inverse=True)  # a fingerprint is looked up once
-            at, to = w.candidates(some)
+            at, to = w.candidates(simhashes(sums, size)[:_CHUNK])
+            inside = doc[a + at] == doc[a + size - 1 + at]
+            at, to = at[inside], to[inside]
             if not len(at):
                 continue
-            near = np.isin(which, at)
-            of: dict[int, list[int]] = {}
-            for x, y in zip(at.tolist(), to.tolist(), strict=True):
-                of.setdefault(x, []).append(y)
-            verified: dict[int, list[tuple[int, float]]] = {}  # content of a document's window -> contents of the index
-            for i, x in zip((a + inside[near]).tolist(), which[near].tolist(), strict=True):
-                own = hashes[i : i + size]
-                if (key := _digest(own)) not in verified:
-                    verified[key] = []
-                    for c in (c for y in of[x] for c in w.held[y].tolist()):
+            if size > index.shingle:
+                # Shingles that no item has set a bound to the similarity, which spares most verifications.
+                if of_known is None:
+                    weight, known = index.weigh(shingles(part, index.shingle))
+                    of_known, of_other = (np.concatenate([[0.0], np.cumsum(np.where(k, weight, 0.0))]) for k in (known, ~known))
+                n = size - index.shingle + 1
+                most, other = of_known[at + n] - of_known[at], of_other[at + n] - of_other[at]
+                fair = most >= (minimum - 1e-9) * (most + other)
+                at, to = at[fair], to[fair]
+            for i, y in zip((a + at).tolist(), to.tolist(), strict=True):
+                own, d = hashes[i : i + size], int(doc[i])
+                digest = _digest(own)
+                for c in w.held[y].tolist():
+                    exact = w.content[c] == digest
+                    if exact:
+                        sim = 1.0
+                    elif (sim := verified.get((digest, size, c), -1.0)) < 0:
                         k, o = w.owners[c][0]
-                        if (sim := index.similarity(own, index.texts[k][o : o + size])) >= minimum:
-                            verified[key].append((c, sim))
-                d = int(doc[i])
-                for c, sim in verified[key]:
+                        sim = verified[digest, size, c] = index.similarity(own, index.texts[k][o : o + size])
+                    if sim < minimum:
+                        continue
                     for k in {k for k, _ in w.owners[c]}:
                         one = found.setdefault((d, k), [set(), set(), 0.0, set()])
                         one[0].add(i)
-                        if sim == 1.0 and w.content[c] == key:
+                        if exact:
                             one[1].add(i)
                         one[2] = max(one[2], sim)
                         one[3].add((size, c))
@@ -239,7 +261,7 @@ def _shingles_of(known: DataFrame, shingle: int) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hash_ = WordHash()
         for batch in batches:
-            rows = [(b, x - (1 << 63)) for b, t in zip(batch["b"], batch["t"], strict=True) for x in set(shingles(hash_.array(t), shingle))]
+            rows = [(b, x - (1 << 63)) for b, t in zip(batch["b"], batch["t"], strict=True) for x in set(shingles(hash_.array(t), shingle).tolist())]
             yield pd.DataFrame(rows, columns=["b", "h"]).astype("int64")
 
     return known.select("b", "t").mapInPandas(cut, "b bigint, h bigint")
