@@ -62,6 +62,8 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> Dat
     Labels that still change after ``most_rounds`` are not returned; it fails.
     """
     e = checkpoint(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct())
+    mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
+    before = mark(e)  # distinct edges are the same if their number and two sums of hashes are
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -72,8 +74,8 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> Dat
             small.select(F.col("m").alias("u"), F.col("y").alias("v")).unionByName(small.select(F.col("m").alias("u"), F.col("x").alias("v")))
             .where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         )
-        changed = not nxt.exceptAll(e).isEmpty() or not e.exceptAll(nxt).isEmpty()
-        e = nxt
+        now = mark(nxt)
+        e, before, changed = nxt, now, now != before
         if not changed:
             break
     else:

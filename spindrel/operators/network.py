@@ -7,8 +7,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindrel.operators import stats
-
 
 def pathway_relevance(pathways: DataFrame, markers: list[str]) -> DataFrame:
     """Common genes of each pathway with the markers, their share, and significance times one plus the share.
@@ -68,10 +66,20 @@ def activity(expression: DataFrame, net: DataFrame) -> DataFrame:
 
     ``expression(grp, gene, mean)`` holds all genes of a group; genes without an edge weigh 0.
     """
-    sources = net.select("source").distinct()
     weights = net.groupBy("source", F.col("target").alias("gene")).agg(F.sum("weight").alias("w"))
-    grid = expression.crossJoin(F.broadcast(sources)).join(weights, ["source", "gene"], "left").na.fill(0.0, ["w"])
-    return stats.linear_t(grid, "w", "mean", "grp", "source")
+    y = F.col("mean").cast("double")
+    groups = expression.groupBy("grp").agg(F.count(y).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
+    # Genes without an edge add nothing to the sums of weights, so only edges are joined.
+    held = expression.select("grp", "gene", y.alias("y")).join(weights, "gene").groupBy("grp", "source").agg(
+        F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("w")).alias("sww"), F.sum(F.col("w") * F.col("y")).alias("swy")
+    )
+    sources = net.select("source").distinct()
+    t = groups.crossJoin(sources).join(held, ["grp", "source"], "left").na.fill(0.0, ["sw", "sww", "swy"])  # one row of the result each
+    spread = F.expr("(n * sww - sw * sw) * (n * syy - sy * sy)")
+    r = F.expr("n * swy - sw * sy") / F.sqrt(F.when(spread > 0, spread))
+    t = t.select("grp", "source", "n", r.alias("r"))
+    unexplained = 1 - F.col("r") * F.col("r")
+    return t.select("grp", "source", "r", "n", F.when(F.col("n") > 2, F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, F.when(unexplained > 0, unexplained)))).alias("t"))
 
 
 def source_relevance(activities: DataFrame, net: DataFrame, markers: list[str]) -> DataFrame:

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from spindrel.runtime import checkpoint
 
 
-def _near(points: DataFrame, radius: float) -> DataFrame:
-    """Ordered pairs within ``radius``, through a grid of squares of that width and the eight around each."""
+def _near(points: DataFrame, radius: float, only: DataFrame | None = None) -> DataFrame:
+    """Ordered pairs within ``radius``, through a grid of squares of that width and the eight around each; from ``only(src)`` if given."""
     cell = points.withColumn("gx", F.floor(F.col("px") / radius)).withColumn("gy", F.floor(F.col("py") / radius))
     around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    a = cell.select(F.col("id").alias("src"), F.col("px").alias("ax"), F.col("py").alias("ay"), "gx", "gy", F.explode(around).alias("o"))
+    from_ = cell if only is None else cell.join(only.select(F.col("src").alias("id")), "id", "left_semi")
+    a = from_.select(F.col("id").alias("src"), F.col("px").alias("ax"), F.col("py").alias("ay"), "gx", "gy", F.explode(around).alias("o"))
     a = a.select("src", "ax", "ay", (F.col("gx") + F.col("o.i")).alias("gx"), (F.col("gy") + F.col("o.j")).alias("gy"))
     b = cell.select(F.col("id").alias("dst"), F.col("px").alias("bx"), F.col("py").alias("by"), "gx", "gy")
     d = F.sqrt(F.pow(F.col("ax") - F.col("bx"), 2) + F.pow(F.col("ay") - F.col("by"), 2))
@@ -39,9 +40,7 @@ def nearest_graph(points: DataFrame, k: int, radius: float | None = None) -> Dat
     order = Window.partitionBy("src").orderBy("distance", "dst")
     out, todo = None, None
     while want:
-        near = _near(points, radius)
-        if todo is not None:
-            near = near.join(todo, "src", "left_semi")
+        near = _near(points, radius, todo)
         ranked = checkpoint(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= want))
         enough = ranked.where(F.col("rank") == want).select("src")
         done = ranked.join(enough, "src", "left_semi")

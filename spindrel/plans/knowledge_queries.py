@@ -11,7 +11,7 @@ from spindrel.plans.book import Book
 from spindrel.runtime import table
 
 SQL = """with kb as (select distinct s_nationkey "type", case when l_quantity >= 48 then 'confirm' else 'add' end tier, p_brand gene, s_suppkey source
-  from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey where l_quantity >= 44 and l_discount >= 0.08),
+  from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey),
 mg as (select "type", tier, gene, list_sort(list(distinct source)) sources, count(distinct source) n_sources from kb group by all),
 """
 BOOK = Book(SQL)
@@ -25,7 +25,7 @@ def _r(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 def kb(spark, d) -> DataFrame:
     """Suppliers as sources, their nations as types, brands as marker genes."""
-    lines = table(spark, d, "lineitem").where("l_quantity >= 44 and l_discount >= 0.08").select("l_suppkey", "l_partkey", "l_quantity")
+    lines = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_quantity")
     supplier = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("type"))
     part = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("gene"))
     tier = F.when(F.col("l_quantity") >= 48, "confirm").otherwise("add")

@@ -94,14 +94,14 @@ def redundant_pathways(spark, d):
     return network.redundant_terms(_pathways(spark, d), "kind")
 
 
-_NET = """net as (select l_suppkey % 40 source, p_brand target, sum(l_discount - 0.05) weight from lineitem join part on l_partkey = p_partkey where l_quantity > 40 group by all)
+_NET = """net as (select l_suppkey source, p_brand target, sum(l_discount - 0.05) weight from lineitem join part on l_partkey = p_partkey group by all)
 """
 
 
 def _net(spark, d):
     part = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("target"))
-    lines = table(spark, d, "lineitem").where("l_quantity > 40").join(part, "l_partkey")
-    return lines.groupBy((F.col("l_suppkey") % 40).alias("source"), "target").agg(F.sum(F.col("l_discount") - 0.05).alias("weight"))
+    lines = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_discount").join(part, "l_partkey")
+    return lines.groupBy(F.col("l_suppkey").alias("source"), "target").agg(F.sum(F.col("l_discount") - 0.05).alias("weight"))
 
 
 @query(_NET + ", k as (select source from net group by 1 having count(distinct target) >= 20) select source, target, round(weight, 6) + 0.0 weight from net semi join k using (source)")
@@ -220,17 +220,22 @@ def co_occurrence(spark, d):
 
 # --- comparisons
 
-_SETS = """st as (select distinct dataset_id || '|' || group_label "cluster", upper(names) gene from marker_gene where dataset_id is not null and group_label is not null and names is not null and scores > 15 and not isnan(scores)),
+_SETS = """gs as (select dataset_id || '|' || group_label "cluster", upper(trim(names)) gene, max(scores) s from marker_gene where dataset_id is not null and group_label is not null and names is not null and scores is not null and not isnan(scores) group by all),
+ tk as (select "cluster", gene from gs qualify row_number() over (partition by "cluster" order by s desc, gene) <= 15), st as (select "cluster", gene from tk qualify count(*) over (partition by "cluster") >= 3),
  df as (select gene, count(*) df from st group by 1), nn as (select count(distinct "cluster") n from st), wt as (select "cluster", gene, ln((n + 1) / (df + 1)) w from st join df using (gene), nn),
  vc as (select "cluster", gene, coalesce(w / nullif(sqrt(sum(w * w) over (partition by "cluster")), 0), 0) w from wt),
- cs as (select a."cluster" a, b."cluster" b, sum(a.w * b.w) cosine from vc a join vc b on a.gene = b.gene and a."cluster" < b."cluster" group by all having sum(a.w * b.w) >= 0.1)
+ cs as (select a."cluster" a, b."cluster" b, sum(a.w * b.w) cosine from vc a join vc b on a.gene = b.gene and a."cluster" < b."cluster" group by all having sum(a.w * b.w) >= 0.15)
 """
+#: Least cosine of an edge.
+ALIKE = 0.15
 
 
 def _vectors(spark, d):
-    real = "dataset_id is not null and group_label is not null and names is not null and scores > 15 and not isnan(scores)"
-    sets = table(spark, d, "marker_gene").where(real).select(F.concat_ws("|", "dataset_id", "group_label").alias("cluster"), F.upper("names").alias("gene")).distinct()
-    return comparison.idf_vectors(sets)
+    """The 15 best genes of every cluster with at least 3, weighted."""
+    real = "dataset_id is not null and group_label is not null and names is not null and scores is not null and not isnan(scores)"
+    rows = table(spark, d, "marker_gene").where(real)
+    rows = rows.select(F.concat_ws("|", "dataset_id", "group_label").alias("cluster"), F.upper(strip("names")).alias("gene"), F.col("scores").alias("score"))
+    return comparison.idf_vectors(checkpoint(comparison.top_sets(rows)))
 
 
 @query(_SETS + ' select "cluster", gene, round(w, 6) + 0.0 w from vc')
@@ -240,46 +245,15 @@ def gene_set_vectors(spark, d):
 
 @query(_SETS + " select a, b, round(cosine, 6) cosine from cs")
 def similar_clusters(spark, d):
-    return _r(comparison.cosine_edges(_vectors(spark, d), 0.1), "cosine")
+    return _r(comparison.cosine_edges(_vectors(spark, d), ALIKE), "cosine")
 
 
 @query("recursive " + _SETS + """, ed as (select a u, b v from cs union select b, a from cs), wk as (select distinct "cluster" node, "cluster" root from vc union select ed.v, wk.root from wk join ed on ed.u = wk.node)
  select node, min(root) component from wk group by 1""")
 def cluster_communities(spark, d):
     """Connected parts of the similarity graph."""
-    v = _vectors(spark, d)
-    return comparison.components(v.select(F.col("cluster").alias("node")), comparison.cosine_edges(v, 0.1))
-
-
-# The sets above hold what scores over 15 and miss clusters of lower scores; these hold the 15 best genes of every cluster.
-_TOP_SETS = """gs as (select dataset_id || '|' || group_label "cluster", upper(trim(names)) gene, max(scores) s from marker_gene where dataset_id is not null and group_label is not null and names is not null and scores is not null and not isnan(scores) group by all),
- tk as (select "cluster", gene from gs qualify row_number() over (partition by "cluster" order by s desc, gene) <= 15), st as (select "cluster", gene from tk qualify count(*) over (partition by "cluster") >= 3),
-""" + _SETS.partition("\n")[2]
-
-
-def _top_vectors(spark, d):
-    real = "dataset_id is not null and group_label is not null and names is not null and scores is not null and not isnan(scores)"
-    rows = table(spark, d, "marker_gene").where(real)
-    rows = rows.select(F.concat_ws("|", "dataset_id", "group_label").alias("cluster"), F.upper(strip("names")).alias("gene"), F.col("scores").alias("score"))
-    return comparison.idf_vectors(checkpoint(comparison.top_sets(rows)))
-
-
-@query(_TOP_SETS + ' select "cluster", gene, round(w, 6) + 0.0 w from vc')
-def marker_set_vectors(spark, d):
-    return _r(_top_vectors(spark, d), "w")
-
-
-@query(_TOP_SETS + " select a, b, round(cosine, 6) cosine from cs")
-def marker_set_similarity(spark, d):
-    return _r(comparison.cosine_pairs(_top_vectors(spark, d), 0.1), "cosine")
-
-
-@query("recursive " + _TOP_SETS + """, ed as (select a u, b v from cs union select b, a from cs), wk as (select distinct "cluster" node, "cluster" root from vc union select ed.v, wk.root from wk join ed on ed.u = wk.node)
- select node, min(root) component from wk group by 1""")
-def marker_set_communities(spark, d):
-    """Connected parts of the similarity graph of the best genes."""
-    v = _top_vectors(spark, d)
-    return comparison.components(v.select(F.col("cluster").alias("node")), comparison.cosine_pairs(v, 0.1))
+    v = checkpoint(_vectors(spark, d))
+    return comparison.components(v.select(F.col("cluster").alias("node")), comparison.cosine_edges(v, ALIKE))
 
 
 @query("""n as (select leiden, batch, count(*) n from obs_annotated where batch is not null and leiden is not null group by all), r as (select *, row_number() over (partition by leiden order by n desc, batch) k, sum(n) over (partition by leiden) t from n)

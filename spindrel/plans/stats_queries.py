@@ -163,24 +163,18 @@ def differential_accessibility(spark, d):
     return expression.differential_accessibility(roles.counts(spark, d), labelled(spark, d))
 
 
-_TAIL = """lf as (select i, coalesce(sum(ln(i)) over (order by i rows between unbounded preceding and current row), 0) f from (select unnest(range(1, 2001)) i)),
- lf0 as (select 0 i, 0.0 f union all select * from lf),
- g as (select dataset_id, count(distinct names)::int total, count(distinct names) filter (scores > 20)::int drawn from marker_gene where names is not null and not isnan(scores) group by 1 having count(distinct names) <= 2000),
+_TAIL = """g as (select dataset_id, count(distinct names)::int total, count(distinct names) filter (scores > 20)::int drawn from marker_gene where names is not null and not isnan(scores) group by 1),
  k as (select dataset_id, group_label, count(distinct names)::int marked, count(distinct names) filter (scores > 20)::int hits from marker_gene where names is not null and not isnan(scores) and group_label is not null group by 1, 2),
  t as (select dataset_id, group_label, hits, marked, drawn, total from k join g using (dataset_id)),
  e as (select *, unnest(range(greatest(hits, drawn + marked - total, 0), least(marked, drawn) + 1)) i from t)
 """
 
 
-@query(_TAIL + """, p as (select dataset_id, group_label, sum(exp((select f from lf0 where lf0.i = marked) - (select f from lf0 where lf0.i = e.i) - (select f from lf0 where lf0.i = marked - e.i)
-  + (select f from lf0 where lf0.i = total - marked) - (select f from lf0 where lf0.i = drawn - e.i) - (select f from lf0 where lf0.i = total - marked - drawn + e.i)
-  - (select f from lf0 where lf0.i = total) + (select f from lf0 where lf0.i = drawn) + (select f from lf0 where lf0.i = total - drawn))) p from e group by 1, 2)
+@query(_TAIL + """, p as (select dataset_id, group_label, sum(exp(lgamma(marked + 1) - lgamma(i + 1) - lgamma(marked - i + 1) + lgamma(total - marked + 1) - lgamma(drawn - i + 1)
+  - lgamma(total - marked - drawn + i + 1) - lgamma(total + 1) + lgamma(drawn + 1) + lgamma(total - drawn + 1))) p from e group by 1, 2)
  select dataset_id, group_label, hits, marked, drawn, total, round(case when hits <= 0 then 1 else coalesce(least(1, p), 0) end, 7) p from t left join p using (dataset_id, group_label)""", prelude="with ")
 def overrepresentation(spark, d):
-    """Are a group's genes overrepresented among the high-scoring ones of its data set?
-
-    The SQL's table of log-factorials ends at 2000, so it leaves out data sets with more genes; this doesn't.
-    """
+    """Are a group's genes overrepresented among the high-scoring ones of its data set?"""
     rows = table(spark, d, "marker_gene").where("names is not null and scores is not null and not isnan(scores)")
     high = F.countDistinct(F.when(F.col("scores") > 20, F.col("names"))).cast("int")
     whole = rows.groupBy("dataset_id").agg(F.countDistinct("names").cast("int").alias("total"), high.alias("drawn"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,17 +37,27 @@ def task_count(spark: SparkSession) -> int:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage there.
+    """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as in tests on
-    one machine, a folder of our own is made.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables in between, which all executors see.
+
+    It is the cluster's ``spark.checkpoint.dir``. Only in local mode, where driver and executors share the machine, a folder
+    is made if that is unset, and removed at the end; on a cluster it is an error.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(
-            sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spindrel-checkpoint-")
-        )
-    return df.checkpoint(eager=True)
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="spindrel-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def strip(col: Column | str) -> Column:

@@ -16,7 +16,8 @@ def soft_fields(spark: SparkSession, path: str) -> DataFrame:
 
 def soft_samples(spark: SparkSession, path: str) -> DataFrame:
     """``sample, key, value`` of the sample blocks; each begins with ``^SAMPLE = id``."""
-    blocks = spark.read.text(path, wholetext=True).select(F.explode(F.slice(F.split("value", r"(?m)^\^SAMPLE\s*=\s*"), 2, 1_000_000)).alias("block"))
+    blocks = spark.read.text(path, wholetext=True).select(F.split("value", r"(?m)^\^SAMPLE\s*=\s*").alias("b"))
+    blocks = blocks.where(F.size("b") > 1).select(F.explode(F.slice("b", F.lit(2), F.size("b") - 1)).alias("block"))
     lines = blocks.select(F.trim(F.split("block", "\n")[0]).alias("sample"), F.explode(F.split("block", "\r?\n")).alias("line"))
     pair = lambda k: F.trim(F.regexp_extract("line", r"^!([^=]+?)\s*=\s*(.*)$", k))
     return lines.select("sample", pair(1).alias("key"), pair(2).alias("text")).where("key <> ''")
