@@ -27,6 +27,6 @@ def test_clusters_of_low_scores_are_kept(spark):
     real = "dataset_id is not null and group_label is not null and names is not null and scores is not null and not isnan(scores)"
     sizes = duckdb.sql(f"select dataset_id || '|' || group_label, least(15, count(distinct upper(names))), max(scores) from '{DATA}/marker_gene.parquet' where {real} group by 1 having count(distinct upper(names)) >= 3").fetchall()
     assert any(top <= 15 for *_, top in sizes)
-    got = {r["cluster"]: r["count"] for r in entry.queries()["marker_set_vectors"](spark, DATA).groupBy("cluster").count().collect()}
+    got = {r["cluster"]: r["count"] for r in entry.queries()["gene_set_vectors"](spark, DATA).groupBy("cluster").count().collect()}
     assert got == {cluster: n for cluster, n, _ in sizes}
-    assert {r["node"] for r in entry.queries()["marker_set_communities"](spark, DATA).collect()} == set(got)
+    assert {r["node"] for r in entry.queries()["cluster_communities"](spark, DATA).collect()} == set(got)
