@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Letters with marks and their plain ones, of all Latin letters that decompose so.
+_LATIN = [chr(c) for a, b in ((0xC0, 0x250), (0x1E00, 0x1F00)) for c in range(a, b)]
+_PLAIN = {c: unicodedata.normalize("NFD", c)[0] for c in _LATIN}
+ACCENTS = ("".join(c for c, p in _PLAIN.items() if p.isascii()), "".join(p for p in _PLAIN.values() if p.isascii()))
+
 # Fixed values.
-GREEK_FOLD = ("áàâäãåéèêëíìîïóòôöõúùûüñç", "aaaaaaeeeeiiiiooooouuuunc")
 RAW_WORDS, NORMALISED_WORDS = ("raw", "count", "umi"), ("tpm", "cpm", "fpkm", "rpkm", "norm", "log")
 SPECIES = {"human": ("human", "homo_sapiens", "grch38", "hg38", "hg19"), "mouse": ("mouse", "mus_musculus", "grcm38", "mm10", "mm39"), "zebrafish": ("zebrafish", "danio", "grcz11")}
 SUFFIXES = (".gz", ".mtx", ".h5ad", ".h5", ".csv", ".tsv", ".txt", ".bed", ".tar", ".zip", ".loom", ".rds", ".xlsx", ".pdf")
@@ -14,7 +20,7 @@ SUFFIXES = (".gz", ".mtx", ".h5ad", ".h5", ".csv", ".tsv", ".txt", ".bed", ".tar
 
 def label_key(c: Column) -> Column:
     """Lower case without accents, all that is no letter or digit made one underscore, none at the ends."""
-    plain = F.translate(F.lower(c), *GREEK_FOLD)
+    plain = F.lower(F.translate(F.regexp_replace(c, r"\p{M}+", ""), *ACCENTS))
     return F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
