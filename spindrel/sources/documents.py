@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,14 +36,37 @@ def superseries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def paper_xml(spark: SparkSession, path: str) -> DataFrame:
-    """``title, section, text`` of the sections of an article in XML."""
-    raw = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"(?s)<\?xml.*?\?>|<!DOCTYPE.*?>", "").alias("x"))
-    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]+>", " "), r"\s+", " "))
-    title = plain(F.regexp_extract("x", r"(?s)<article-title[^>]*>(.*?)</article-title>", 1))
-    sections = F.regexp_extract_all("x", F.lit(r"(?s)<sec[ >].*?</sec>"), F.lit(0))
-    head = F.regexp_extract("s", r"(?s)<title[^>]*>(.*?)</title>", 1)
-    body = F.regexp_replace("s", r"(?s)<title[^>]*>.*?</title>", " ")
-    return raw.select(title.alias("title"), F.explode(sections).alias("s")).select("title", plain(head).alias("section"), plain(body).alias("text"))
+    """``title, section, text`` of the sections of articles in XML, one file each; a section's text leaves out those nested in it.
+
+    Files that are no well-formed XML have no sections.
+    """
+
+    def plain(parts: Iterator[str]) -> str:
+        return " ".join(" ".join(parts).split())
+
+    def own(section: ElementTree.Element) -> Iterator[str]:
+        yield section.text or ""
+        for child in section:
+            if child.tag not in ("sec", "title"):
+                yield from child.itertext()
+            yield child.tail or ""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for x in b["value"]:
+                try:
+                    root = ElementTree.fromstring(re.sub(r"(?s)<!DOCTYPE.*?>", "", x))
+                except ElementTree.ParseError:
+                    continue
+                head = root.find(".//article-title")
+                title = plain(head.itertext()) if head is not None else ""
+                for s in root.iter("sec"):
+                    name = s.find("title")
+                    rows.append((title, plain(name.itertext()) if name is not None else "", plain(own(s))))
+            yield pd.DataFrame(rows, columns=["title", "section", "text"])
+
+    return spark.read.text(path, wholetext=True).mapInPandas(read, "title string, section string, text string")
 
 
 def markdown_sections(text: Column) -> Column:

@@ -8,13 +8,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spindrel.runtime import checkpoint
+
 MISSING = float("nan")
 
 
-def _numbered(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """Lines of a side file with their number from 1 and their fields; such a file is one piece of text."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim("value", F.lit("\n\r")), "\r?\n")).alias("n", "line"))
-    return lines.select((F.col("n") + 1).cast("bigint").alias("n"), F.split("line", sep).alias("f")).where("size(f) > 0 and f[0] <> ''")
+SAMPLE_FOLDER = r"/(?:sample=)?([^/]+)/[^/]+$"
+
+
+def numbered_lines(spark: SparkSession, path: str, skip: str | None = None) -> DataFrame:
+    """``file, n, value``: lines of text files, numbered from 1 within each file, without those that begin with ``skip``.
+
+    Files are read in splits like any other. A line's number is its place in its split behind the lines of the splits before it.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"))
+    if skip:
+        lines = lines.where(~F.col("value").startswith(skip))
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    # Numbers in a split rise with the lines but have gaps where lines are skipped, so they are counted within the split.
+    ranked = lines.withColumn("k", F.row_number().over(Window.partitionBy("file", "at").orderBy("id"))) if skip else None
+    counted = lines.groupBy("file", "at").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("first"))
+    splits = counted.select("file", "at", "first", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("offset"))
+    if ranked is not None:
+        return ranked.join(splits, ["file", "at"]).select("file", (F.col("offset") + F.col("k")).alias("n"), "value")
+    return lines.join(splits, ["file", "at"]).select("file", (F.col("offset") + F.col("id") - F.col("first") + 1).alias("n"), "value")
 
 
 def has_header(first_name: str) -> bool:
@@ -22,24 +39,32 @@ def has_header(first_name: str) -> bool:
     return bool(first_name) and first_name[0].islower()
 
 
-def read_mtx(spark: SparkSession, matrix: str, barcodes: str, features: str, sample: str | None = None) -> DataFrame:
-    """A Matrix-Market file of genes by cells with its barcodes and features.
+def read_mtx(spark: SparkSession, matrix: str, barcodes: str, features: str, sample: str | None = None, folder: str | None = None) -> DataFrame:
+    """Matrix-Market files of genes by cells with their barcodes and features: ``cell_id, gene_id, value`` and ``sample`` if it is told.
 
-    Features have an id and, if there are two fields and more, a symbol that is used as the gene. Comment lines and
-    the line of sizes are skipped; the latter is the first line of the file that is no comment.
+    Each path is a file or, for many samples at once, a folder or pattern; then ``folder`` is the expression that finds the
+    sample in a file's path (as ``SAMPLE_FOLDER``). Features have an id and, if there are two fields and more, a symbol that is used as the gene; a header is one that begins
+    in lower case. Comment lines are skipped, and the line of sizes, which is the first of its file that is no comment.
+    Genes that a sample lacks are zeros, as they are in long form.
     """
-    head = spark.read.text(matrix).where(~F.col("value").startswith("%")).limit(1).collect()
-    size_line = head[0][0] if head else ""
-    rows = spark.read.text(matrix).where(~F.col("value").startswith("%") & (F.col("value") != size_line) & (F.trim("value") != ""))
-    parts = F.split(F.trim("value"), r"\s+")
-    triplets = rows.select(parts[0].cast("bigint").alias("g"), parts[1].cast("bigint").alias("c"), parts[2].try_cast("float").alias("value"))
-    genes = _numbered(spark, features)
-    first = genes.orderBy("n").limit(1).collect()
-    shift = 1 if first and has_header(first[0]["f"][0]) else 0
-    genes = genes.where(F.col("n") > shift).select((F.col("n") - shift).alias("g"), F.coalesce(F.get("f", F.lit(1)), F.col("f")[0]).alias("gene_id"))
-    cells = _numbered(spark, barcodes).select(F.col("n").alias("c"), F.col("f")[0].alias("cell_id"))
-    out = triplets.join(genes, "g").join(cells, "c").select("cell_id", "gene_id", "value")
-    return out if sample is None else out.withColumn("cell_id", F.concat_ws("_", F.lit(sample), "cell_id")).withColumn("sample", F.lit(sample))
+    own = F.regexp_extract("file", folder, 1) if folder else F.lit(sample or "")
+    split = lambda c: F.split(F.trim(c), r"\s+")
+    rows = spark.read.text(matrix).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"))
+    rows = rows.where(~F.col("value").startswith("%"))
+    sizes = rows.groupBy("file").agg(F.min(F.struct("at", "id")).alias("first")).select("file", F.col("first.id").alias("size_id"))  # one row for each file
+    rows = rows.join(sizes, "file").where((F.col("id") != F.col("size_id")) & (F.trim("value") != ""))
+    parts = split("value")
+    triplets = rows.select(own.alias("sample"), parts[0].cast("bigint").alias("g"), parts[1].cast("bigint").alias("c"), parts[2].try_cast("float").alias("value"))
+    fields = F.split("value", "\t")
+    genes = numbered_lines(spark, features).where("value <> ''").select(own.alias("sample"), "n", fields.alias("f"))
+    header = genes.where("n = 1").select("sample", F.coalesce(F.col("f")[0].rlike("^[a-z]"), F.lit(False)).cast("int").alias("shift"))
+    genes = genes.join(header, "sample").where(F.col("n") > F.col("shift"))
+    genes = genes.select("sample", (F.col("n") - F.col("shift")).alias("g"), F.coalesce(F.get("f", F.lit(1)), F.col("f")[0]).alias("gene_id"))
+    cells = numbered_lines(spark, barcodes).select(own.alias("sample"), F.col("n").alias("c"), fields[0].alias("cell_id"))
+    out = triplets.join(genes, ["sample", "g"]).join(cells, ["sample", "c"]).select("cell_id", "gene_id", "value", "sample")
+    if folder:
+        return out
+    return out.withColumn("cell_id", F.concat_ws("_", "sample", "cell_id")) if sample else out.drop("sample")
 
 
 def concat(parts: list[DataFrame]) -> DataFrame:
@@ -71,12 +96,14 @@ def read_cells_by_genes(spark: SparkSession, paths: list[str], meta: list[str],
 
     A barcode that comes again gets its number as a suffix.
     """
-    wide = concat([spark.read.csv(p, header=True, sep=sep).withColumn("__file", F.lit(i)) for i, p in enumerate(paths)])
+    at = F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"))
+    read = lambda i, p: spark.read.csv(p, header=True, sep=sep).select("*", F.struct(F.lit(i).alias("file"), at.alias("at")).alias("__at"))
+    wide = concat([read(i, p) for i, p in enumerate(paths)])
     key = meta[0]
-    again = F.row_number().over(Window.partitionBy(key).orderBy("__file", F.monotonically_increasing_id())) - 1
-    wide = wide.withColumn("__again", again)
+    again = F.row_number().over(Window.partitionBy(key).orderBy("__at")) - 1
+    wide = checkpoint(wide.withColumn("__again", again).drop("__at"))  # numbered once, for both results
     wide = wide.withColumn("cell_id", F.when(F.col("__again") > 0, F.concat_ws("_", key, F.col("__again").cast("string"))).otherwise(F.col(key)))
-    genes = [c for c in wide.columns if c not in {*meta, "__file", "__again", "cell_id"}]
+    genes = [c for c in wide.columns if c not in {*meta, "__again", "cell_id"}]
     return wide.select("cell_id", *meta), _long(wide, "cell_id", genes, "gene_id").select("cell_id", "gene_id", "value")
 
 

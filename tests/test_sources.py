@@ -32,6 +32,31 @@ def test_mtx(spark, tmp_path, header):
     assert two.count() == 6 and two.select("cell_id").distinct().count() == 6
 
 
+def test_mtx_entry_like_the_line_of_sizes(spark, tmp_path):
+    m = put(tmp_path / "matrix.mtx", "%%MatrixMarket\n2 3 3\n1 1 5\n2 3 3\n1 2 1\n")
+    b, f = put(tmp_path / "b.tsv", "A\nB\nC\n"), put(tmp_path / "f.tsv", "G1\nG2\n")
+    assert rows(matrix_files.read_mtx(spark, m, b, f)) == [("A", "G1", 5.0), ("B", "G1", 1.0), ("C", "G2", 3.0)]
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    p = put(tmp_path / "long.txt", "".join(("%c" if i % 7 == 3 else f"line {i}") + "\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        got = {r["n"]: r["value"] for r in matrix_files.numbered_lines(spark, p).collect()}
+        kept = {r["n"]: r["value"] for r in matrix_files.numbered_lines(spark, p, "%").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    lines = open(p).read().splitlines()
+    assert got == dict(enumerate(lines, 1)) and kept == dict(enumerate([x for x in lines if x[0] != "%"], 1))
+
+
+def test_nested_sections(spark, tmp_path):
+    p = put(tmp_path / "n.xml", "<?xml version='1.0' encoding='UTF-8'?><!DOCTYPE a><a><article-title>T</article-title><sec><title>Outer</title><p>one</p><sec><title>Inner</title><p>two</p></sec><p>three</p></sec></a>")
+    assert rows(documents.paper_xml(spark, p)) == [("T", "Inner", "two"), ("T", "Outer", "one three")]
+    assert documents.paper_xml(spark, put(tmp_path / "bad.xml", "<a><b>")).count() == 0
+
+
 def test_table(spark, tmp_path):
     p = put(tmp_path / "x.csv", "gene,c1,c2\nA,0,2.5\nB,x,0\n")
     got = rows(matrix_files.read_table(spark, p))
