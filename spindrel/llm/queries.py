@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spindrel.llm import canonical, cube, leaks, packing, prose, topn
 from spindrel.plans.registry_queries import setting_samples
-from spindrel.runtime import fold, table
+from spindrel.runtime import checkpoint, fold, table
 
 DEFAULT_N = 50
 
@@ -44,8 +44,9 @@ def p3_ranked(spark: SparkSession, d: str) -> DataFrame:
         ["scores", "logfoldchanges"],
     )
     limits = table(spark, d, "de_config").groupBy("dataset_id").agg(F.max("n_genes").alias("n_genes"))
+    genes = checkpoint(genes.join(limits, "dataset_id", "left"))  # read for the histogram and again for the rows
     return topn.top_per_group(
-        genes.join(limits, "dataset_id", "left"),
+        genes,
         ["dataset_id", "group_label"],
         "scores",
         [F.col("logfoldchanges").desc_nulls_last(), F.col("names").asc()],

@@ -3,7 +3,8 @@
 Each group's scores are counted in bins, with the least score of each bin. Counting down from the
 highest bin until N items are reached gives a bin whose least score at least N items reach, so that no
 item below it can be among the first N: they are dropped before anything is ranked. The survivors are
-ranked exactly by score and tie keys. Survivors can still be many if a group is huge and its scores are
+ranked exactly by score and tie keys. The thresholds, one for each group, are broadcast if they are few
+enough, so that only survivors are shuffled; else rows and thresholds meet by a shuffle. Survivors can still be many if a group is huge and its scores are
 equal; such groups are cut into parts by a hash of the item, each part keeps its own first N, and only
 these meet in the group's final ranking.
 """
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from spindrel.runtime import checkpoint, task_count
 
 PART_ROWS = 100_000
+BROADCAST_GROUPS = 100_000
 _BINS_PER_UNIT = 64
 #: Names of columns in between; no input column may begin with this prefix.
 LIMIT, BIN, N, LEAST, ABOVE, PARTS, PART, RANK = (f"__spindrel_{x}" for x in "limit bin n least above parts part rank".split())
@@ -29,6 +31,7 @@ def top_per_group(
     limit: Column,
     part_key: Column,
     part_rows: int = PART_ROWS,
+    broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
     """The first ``limit`` rows of each group by ``score`` descending and then ``ties``, with their ``rank``.
 
@@ -52,7 +55,8 @@ def top_per_group(
     counted = histogram.withColumn(ABOVE, F.sum(N).over(down) - F.col(N))
     thresholds = counted.where(F.col(ABOVE) < F.col(LIMIT)).groupBy(*group).agg(F.min(LEAST).alias(LEAST))
 
-    total = histogram.agg(F.sum(N)).first()[0] or 0
+    total, n_groups = histogram.groupBy(*group).agg(F.sum(N).alias(N)).agg(F.sum(N), F.count(F.lit(1))).first()
+    total = total or 0
     most = max(part_rows, total // (task_count(items.sparkSession) * 16))
     large = (
         histogram.groupBy(*group).agg(F.sum(N).alias(N)).where(F.col(N) > most)
@@ -60,10 +64,12 @@ def top_per_group(
     )  # fewer than 16 groups for each task, as their sizes add up to the total at most
     parts = F.coalesce(PARTS, F.lit(1))
     rows = rows.join(F.broadcast(large), group, "left").withColumn(PART, F.pmod(F.xxhash64(part_key, F.lit(31)), parts).cast("int"))
-    thresholds = thresholds.join(F.broadcast(large), group, "left").select(
-        *group, LEAST, F.explode(F.sequence(F.lit(0), parts - 1)).alias(PART)
-    )
-    kept = rows.drop(PARTS).join(thresholds, [*group, PART]).where(x >= F.col(LEAST)).drop(LEAST)
+    if n_groups <= broadcast_groups:
+        kept = rows.drop(PARTS).join(F.broadcast(thresholds), group)
+    else:
+        thresholds = thresholds.join(F.broadcast(large), group, "left").select(*group, LEAST, F.explode(F.sequence(F.lit(0), parts - 1)).alias(PART))
+        kept = rows.drop(PARTS).join(thresholds, [*group, PART])
+    kept = kept.where(x >= F.col(LEAST)).drop(LEAST)
     order = [F.desc(score), *ties]
     in_part = F.row_number().over(Window.partitionBy(*group, PART).orderBy(*order))
     in_group = F.row_number().over(Window.partitionBy(*group).orderBy(*order))

@@ -8,9 +8,9 @@ from spindrel.llm import topn
 SCHEMA = "g string, score double, lfc double, name string, n int, bin int, rank int"
 
 
-def run(spark, rows, part_rows):
+def run(spark, rows, part_rows, broadcast_groups=100_000):
     df = spark.createDataFrame(rows, SCHEMA)
-    out = topn.top_per_group(df, ["g"], "score", [F.col("lfc").desc_nulls_last(), F.col("name").asc()], F.col("n"), F.col("name"), part_rows)
+    out = topn.top_per_group(df, ["g"], "score", [F.col("lfc").desc_nulls_last(), F.col("name").asc()], F.col("n"), F.col("name"), part_rows, broadcast_groups)
     return sorted((r["g"], r["rank"], r["name"]) for r in out.collect())
 
 
@@ -36,7 +36,7 @@ def test_against_sorting(spark, part_rows):
             s = 2.5 if g == "ties" else value()
             rows.append((g, s, rng.choice([None, 1.0, 2.0]), f"{g}{i:04d}", limits[g], i, i))
     rows.append((None, 5.0, 1.0, "x", 9, 1, 1))
-    assert run(spark, rows, part_rows) == brute(rows)
+    assert run(spark, rows, part_rows) == run(spark, rows, part_rows, 0) == brute(rows)
 
 
 def test_empty(spark):
