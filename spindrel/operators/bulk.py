@@ -56,11 +56,13 @@ def batch_aligned(x: DataFrame, batches: DataFrame) -> DataFrame:
 
 
 def _wald(own: pd.DataFrame) -> pd.DataFrame:
-    """Two-group negative-binomial fit by reweighted least squares, dispersion by moments."""
+    """Two-group negative-binomial fit by reweighted least squares, dispersion by moments within the conditions."""
     y, f, t = own["value"].to_numpy(float), own["size_factor"].to_numpy(float), own["treated"].to_numpy(float)
     q = y / f
     mean = q.mean()
-    alpha = max((q.var(ddof=1) - (mean / f).mean()) / mean**2, 1e-8) if len(q) > 1 and mean > 0 else 1e-8
+    level = np.where(t > 0, q[t > 0].mean() if (t > 0).any() else 0.0, q[t <= 0].mean() if (t <= 0).any() else 0.0)
+    spread = ((q - level) ** 2).sum() / max(len(q) - 2, 1)
+    alpha = max((spread - (level / f).mean()) / (level**2).mean(), 1e-8) if len(q) > 2 and mean > 0 else 1e-8
     design = np.c_[np.ones_like(t), t]
     beta = np.array([math.log(max(mean, 1e-8)), 0.0])
     info = np.eye(2)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindrel.operators import matrix, stats
+from spindrel.operators import matrix, sampling, stats
+from spindrel.runtime import checkpoint
 
 
 def v() -> Column:
@@ -17,18 +18,12 @@ def rank_genes(x: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``x`` holds ``log1p`` values. The fold change compares means on the linear scale.
     """
-    labels = labels.where("grp is not null")
-    ranked = stats.rank_sums(x, labels)
-    sizes = labels.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    inside = x.join(labels, "cell_id").groupBy("grp", "gene_id").agg(F.sum(v()).alias("s"), F.count_if(F.col("value") > 0).alias("k"))
-    whole = inside.groupBy("gene_id").agg(F.sum("s").alias("s_all"), F.sum("k").alias("k_all"))
-    total = sizes.agg(F.sum("n").alias("n_all"))
-    t = ranked.join(inside, ["grp", "gene_id"], "left").na.fill({"s": 0.0, "k": 0}).join(whole, "gene_id").crossJoin(F.broadcast(total))
+    t = stats.group_sums(x, labels)
     rest = F.when(F.col("n_all") > F.col("n"), F.col("n_all") - F.col("n"))
     m1, m2 = F.col("s") / F.col("n"), F.coalesce((F.col("s_all") - F.col("s")) / rest, F.lit(0.0))
     out = t.select(
         "grp", "gene_id", F.col("z").alias("score"), F.log2((F.expm1(m1) + 1e-9) / (F.expm1(m2) + 1e-9)).alias("logfc"),
-        (F.col("k") / F.col("n")).alias("pct_in"), F.coalesce((F.col("k_all") - F.col("k")) / rest, F.lit(0.0)).alias("pct_out"),
+        (F.col("m") / F.col("n")).alias("pct_in"), F.coalesce((F.col("nnz") - F.col("m")) / rest, F.lit(0.0)).alias("pct_out"),
         stats.normal_two_sided("z").alias("p"),
     )
     return stats.benjamini_hochberg(out, "p", "grp")
@@ -87,15 +82,18 @@ def differential_accessibility(peaks: DataFrame, labels: DataFrame, bins: int =
     """Fold change of each peak in each group against a background drawn evenly from bins of sequencing depth.
 
     Values are ``log1p`` of counts per ten thousand on both sides. The background of a group are at most
-    ``background / bins`` cells of every depth bin outside it, by a hash of the cell and the group.
+    ``background / bins`` cells of every depth bin outside it, the first by a hash of the cell. Each group offers that many of
+    each bin, so that a group's background is among what the others offer, and no cell is copied for each group.
     """
-    depth = peaks.groupBy("cell_id").agg(F.sum(v()).alias("depth")).join(labels, "cell_id")
-    cuts = depth.agg(F.percentile("depth", F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("cuts"))
-    binned = depth.crossJoin(F.broadcast(cuts)).withColumn("bin", F.size(F.filter("cuts", lambda c: F.col("depth") > c)))
+    labels = labels.where("grp is not null")
+    depth = checkpoint(peaks.groupBy("cell_id").agg(F.sum(v()).alias("depth")).join(labels, "cell_id"))
+    cuts = stats.quantiles(depth, "depth", [i / bins for i in range(1, bins)])
+    bin_ = sum((F.when(F.col("depth") > c, 1).otherwise(0) for c in cuts if c is not None), F.lit(0))
+    share = F.lit(background // bins)
+    offered = checkpoint(sampling.per_stratum(depth.withColumn("bin", bin_), "cell_id", ["bin", "grp"], share, seed))  # few rows
     groups = labels.select(F.col("grp").alias("target")).distinct()
-    others = binned.join(F.broadcast(groups), F.col("grp") != F.col("target"))  # few groups
-    order = Window.partitionBy("target", "bin").orderBy(F.xxhash64("cell_id", "target", F.lit(seed)), "cell_id")
-    drawn = others.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= background // bins).select("target", "cell_id")
+    others = offered.join(F.broadcast(groups), F.col("grp") != F.col("target"))
+    drawn = sampling.per_stratum(others, "cell_id", ["target", "bin"], share, seed).select("target", "cell_id")
     norm = matrix.normalise(peaks)
     side = lambda cells, by: cells.groupBy(by).agg(F.count(F.lit(1)).alias("n")).join(
         norm.join(cells, "cell_id").groupBy(by, "gene_id").agg(F.sum(v()).alias("s")), by

@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindrel.operators import stats
+from spindrel.runtime import checkpoint
+
 SIGMA = 1.482602218505602  # median absolute deviation to standard deviation
 
 
@@ -40,13 +43,13 @@ def keep_cells(metrics: DataFrame, limits: Limits, doublet: Column | None = None
 
 def mad_limits(metrics: DataFrame, column: str, k: float, floor: float | None = None, cap: float | None = None) -> DataFrame:
     """``median``, scaled ``mad`` and ``low``/``high`` = median -/+ k mad, clamped to ``floor`` and ``cap``; one row."""
-    values = metrics.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-    median = values.agg(F.median(column).alias("median"))
-    off = values.crossJoin(F.broadcast(median)).agg(
-        F.first("median").alias("median"), (F.median(F.abs(F.col(column) - F.col("median"))) * SIGMA).alias("mad")
-    )
+    values = checkpoint(metrics.select(column))
+    (median,) = stats.quantiles(values, column, [0.5])
+    off = values.select(F.abs(F.col(column) - F.lit(median)).alias("off"))
+    (mad,) = stats.quantiles(off, "off", [0.5])
+    row = metrics.sparkSession.range(1).select(F.lit(median).cast("double").alias("median"), (F.lit(mad).cast("double") * SIGMA).alias("mad"))
     low, high = F.col("median") - k * F.col("mad"), F.col("median") + k * F.col("mad")
-    return off.select(
+    return row.select(
         "median", "mad", (low if floor is None else F.greatest(low, F.lit(floor))).alias("low"),
         (high if cap is None else F.least(high, F.lit(cap))).alias("high"),
     )
@@ -61,13 +64,12 @@ def keep_genes(x: DataFrame, kept: DataFrame, min_cells: int) -> DataFrame:
 
 def stable_threshold(scores: DataFrame, score: str, threshold: float, rate: float, shift: float = 0.05, most: float = 0.05) -> DataFrame:
     """The threshold, or the ``1 - rate`` percentile if moving it by ``shift`` changes the share above by more than ``most``."""
+    scores = checkpoint(scores.select(score))
     above = lambda t: F.avg((F.col(score) > t).cast("double"))
-    row = scores.agg(
-        above(threshold * (1 - shift)).alias("lo"), above(threshold).alias("at"), above(threshold * (1 + shift)).alias("hi"),
-        F.percentile(score, F.lit(1 - rate)).alias("p"),
-    )
+    (p,) = stats.quantiles(scores, score, [1 - rate])
+    row = scores.agg(above(threshold * (1 - shift)).alias("lo"), above(threshold).alias("at"), above(threshold * (1 + shift)).alias("hi"))
     change = F.greatest(F.abs(F.col("lo") - F.col("at")), F.abs(F.col("hi") - F.col("at")))
-    return row.select((change <= most).alias("stable"), F.when(change <= most, F.lit(float(threshold))).otherwise(F.col("p")).alias("threshold"))
+    return row.select((change <= most).alias("stable"), F.when(change <= most, F.lit(float(threshold))).otherwise(F.lit(p).cast("double")).alias("threshold"))
 
 
 def doublet_rate(n_cells: Column) -> Column:

@@ -33,6 +33,43 @@ def benjamini_hochberg(df: DataFrame, p: str, *by: str, out: str = "p_adj") -> D
     return ranked.withColumn(out, F.when(ok, adjusted)).drop("__m", "__k")
 
 
+def quantiles(df: DataFrame, column: str, at: list[float], in_memory: int = 200_000, bins: int = 4096) -> list[float | None]:
+    """Exact quantiles, interpolated between neighbours, of the values that are neither null nor NaN; None without any.
+
+    Values are counted in bins between the least and the greatest; the bin in which a rank lies is divided again, until at
+    most ``in_memory`` values are left, or one. No task holds more distinct values than that.
+    """
+    v = F.col(column).cast("double")
+    values = checkpoint(df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")))
+    n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+
+    def ranked(k: int) -> float:
+        lo, hi, below, inside, part = low, high, 0, n, values
+        while inside > in_memory and lo < hi:
+            bin_ = F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1)).alias("b")
+            rows = part.groupBy(bin_).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect()  # at most ``bins``
+            for r in rows:
+                if below + r["n"] > k:
+                    lo, hi, inside = r["lo"], r["hi"], r["n"]
+                    break
+                below += r["n"]
+            part = values.where(F.col("v").between(lo, hi))
+        if lo == hi:
+            return lo
+        return part.agg(F.sort_array(F.collect_list("v"))[k - below]).first()[0]
+
+    out: list[float | None] = []
+    for p in at:
+        place = p * (n - 1)
+        k = math.floor(place)
+        if not n:
+            out.append(None)
+        else:
+            a = ranked(k)
+            out.append(a if place == k else a + (place - k) * (ranked(k + 1) - a))
+    return out
+
+
 def correlation(a: Column | str, b: Column | str) -> Column:
     """Pearson correlation; null where one side is constant."""
     spread = F.stddev_pop(a) * F.stddev_pop(b)
@@ -56,6 +93,11 @@ def rank_sums(x: DataFrame, labels: DataFrame, buckets: int = 16) -> DataFrame:
     approximate quantiles, each part's ranks begin where the counts of the lower parts end, so that no task
     holds a whole gene.
     """
+    return group_sums(x, labels, buckets).select("grp", "gene_id", "n", "rank_sum", "z")
+
+
+def group_sums(x: DataFrame, labels: DataFrame, buckets: int = 16) -> DataFrame:
+    """``rank_sums`` with the sum and number of the stored values: ``s, m`` of the group, ``s_all, nnz`` of all, ``n_all`` cells."""
     labels = labels.where("grp is not null")
     sizes = labels.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     total = labels.agg(F.count(F.lit(1)).alias("n_all"))
@@ -70,16 +112,16 @@ def rank_sums(x: DataFrame, labels: DataFrame, buckets: int = 16) -> DataFrame:
     ranked = parts.withColumn("t", ties).withColumn("upto", upto).join(offsets, ["gene_id", "part"])
     rank = F.col("offset") + F.col("upto") - F.col("t") + (F.col("t") + 1) / 2
     t = F.col("t").cast("double")
-    sums = ranked.groupBy("grp", "gene_id").agg(F.sum("c").alias("m"), F.sum(F.col("c") * rank).alias("r"), F.sum(F.col("c") * (t * t - 1)).alias("ties"))
-    per_gene = sums.groupBy("gene_id").agg(F.sum("m").alias("nnz"), F.sum("ties").alias("tie_sum"))
+    sums = ranked.groupBy("grp", "gene_id").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("value").cast("double")).alias("s"), F.sum(F.col("c") * rank).alias("r"), F.sum(F.col("c") * (t * t - 1)).alias("ties"))
+    per_gene = sums.groupBy("gene_id").agg(F.sum("m").alias("nnz"), F.sum("ties").alias("tie_sum"), F.sum("s").alias("s_all"))
     grid = per_gene.crossJoin(F.broadcast(sizes)).crossJoin(F.broadcast(total))  # genes x groups
-    full = grid.join(sums.drop("ties"), ["grp", "gene_id"], "left").na.fill({"m": 0, "r": 0.0}).withColumn("zeros", F.col("n_all") - F.col("nnz"))
+    full = grid.join(sums.drop("ties"), ["grp", "gene_id"], "left").na.fill({"m": 0, "r": 0.0, "s": 0.0}).withColumn("zeros", F.col("n_all") - F.col("nnz"))
     rank_sum = F.expr("r + m * zeros + (n - m) * (1 + zeros) / 2.0")
     tie = F.expr("1 - (tie_sum + cast(zeros as double) * zeros * zeros - zeros) / (cast(n_all as double) * n_all * n_all - n_all)")
     full = full.withColumn("rank_sum", rank_sum).withColumn("__tie", tie)
     sigma = F.sqrt(F.greatest(F.lit(0.0), F.col("__tie")) * F.expr("cast(n as double) * (n_all - n) * (n_all + 1) / 12"))
     z = F.coalesce(F.try_divide(F.expr("rank_sum - n * (n_all + 1) / 2.0"), F.when(sigma > 0, sigma)), F.lit(0.0))
-    return full.select("grp", "gene_id", "n", "rank_sum", z.alias("z"))
+    return full.select("grp", "gene_id", "n", "rank_sum", z.alias("z"), "s", "m", "s_all", "nnz", "n_all")
 
 
 def spearman(df: DataFrame, a: str, b: str, *by: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
-sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
+sys.path[:0] = [str(ROOT), str(ROOT / "tools"), str(ROOT / "tests")]
 DATA = "/root/testdata/sf0.001"
 
 
