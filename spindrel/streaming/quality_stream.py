@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spindrel.runtime import checkpoint
+from spindrel.runtime import shared_folder
 
 
 def windowed(events: DataFrame, width: str = "10 minutes", late: str = "1 hour") -> DataFrame:
@@ -27,19 +27,22 @@ def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     return s.select("user_id", F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
 
 
-def run_to_table(spark: SparkSession, path: str, schema, width: str) -> DataFrame:  # noqa: ANN001
-    """Run the windowed stream over the files at ``path`` to their end and read its table, in the shared checkpoint folder.
+def run_to_table(spark: SparkSession, path: str, schema, width: str, late: str = "1 hour", folder: str | None = None) -> DataFrame:  # noqa: ANN001
+    """Run the windowed stream over the files at ``path`` as far as they go and read its table.
 
-    State and result live there, so that a query whose executor is lost goes on from its last batch.
+    State and table live in ``folder``; the same folder given again goes on where the last run ended, as does a run whose executor is
+    lost. Without one, a new folder in the shared folder is taken. Each batch writes the windows that it changed, and writes
+    them again if it is repeated; the newest of each window counts. Windows older than the watermark leave the state.
     """
-    checkpoint(spark.range(1))  # sets a folder where there is none, as in tests
-    folder = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    folder = folder or f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     pattern = f"{path[:-1]}[{path[-1]}]"  # as a pattern, as a plain path has to be a folder
-    stream = windowed(spark.readStream.schema(schema).parquet(pattern), width)
-    write = lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/table")
+    stream = windowed(spark.readStream.schema(schema).parquet(pattern), width, late)
+    write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/table/batch={n}")
     query = (
-        stream.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/state")
+        stream.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state")
         .trigger(availableNow=True).foreachBatch(write).start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{folder}/table")
+    rows = spark.read.parquet(f"{folder}/table")
+    newest = Window.partitionBy("window_start", "event_type").orderBy(F.desc("batch"))
+    return rows.withColumn("k", F.row_number().over(newest)).where("k = 1").drop("k", "batch")
