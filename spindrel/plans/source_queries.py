@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindrel.plans.book import Book
-from spindrel.runtime import shared_folder, strip, table
+from spindrel.runtime import checkpoint, shared_folder, strip, table
 from spindrel.sources import documents, matrix_files
 
 BOOK = Book("with ")
@@ -27,21 +27,22 @@ def _r(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 def _lines(df: DataFrame, path: str, order: str, by: str | None = None) -> str:
     """Write ``value`` as lines in ``order``: one file or, with ``by``, one for each of its values."""
     if by:
-        df.repartition(by).sortWithinPartitions(by, order).select(by, "value").write.partitionBy(by).text(path)
+        # Written first, as rows of one group were seen to stay apart when the union itself was repartitioned and written.
+        checkpoint(df).repartition(by).sortWithinPartitions(by, order).select(by, "value").write.partitionBy(by).text(path)
     else:
         df.coalesce(1).sortWithinPartitions(order).select("value").write.text(path)
     return path
 
 
-_MTX = """m as (select dataset_id sample, coalesce(group_label, '-') cell, upper(trim(names)) gene, round(max(scores), 3) v from marker_gene where dataset_id is not null and names is not null and trim(names) <> '' and not contains(names, chr(9)) and scores is not null and not isnan(scores) and not isinf(scores) group by all)
+_MTX = """m as (select dataset_id sample, coalesce(group_label, '-') cell, upper(trim(names)) gene, max(scores) v from marker_gene where dataset_id is not null and names is not null and trim(names) <> '' and not contains(names, chr(9)) and scores is not null and not isnan(scores) and not isinf(scores) group by all)
 """
 
 
-@query(_MTX + """ select sample, cell cell_id, gene gene_id, round(v::float, 2) as "value" from m where v <> 0""")
+@query(_MTX + """ select sample, cell cell_id, gene gene_id, v::float::double as "value" from m where v <> 0""")
 def matrix_market_samples(spark, d):
     """Scores of the marker table as Matrix-Market files, one folder for each data set, read back at once."""
     m = table(spark, d, "marker_gene").where("dataset_id is not null and names is not null and trim(names) <> '' and not contains(names, '\t') and scores is not null and not isnan(scores)")
-    m = m.where(F.abs("scores") != float("inf")).groupBy(F.col("dataset_id").alias("sample"), F.coalesce("group_label", F.lit("-")).alias("cell"), F.upper(F.trim("names")).alias("gene")).agg(F.round(F.max("scores"), 3).alias("v"))
+    m = m.where(F.abs("scores") != float("inf")).groupBy(F.col("dataset_id").alias("sample"), F.coalesce("group_label", F.lit("-")).alias("cell"), F.upper(F.trim("names")).alias("gene")).agg(F.max("scores").alias("v"))
     number = lambda c: F.dense_rank().over(Window.partitionBy("sample").orderBy(c))
     m = m.where("v <> 0").withColumn("g", number("gene")).withColumn("c", number("cell"))
     root = folder(spark)
@@ -52,7 +53,7 @@ def matrix_market_samples(spark, d):
     side = lambda name, n, value: _lines(m.select("sample", n, value.alias("value")).distinct(), f"{root}/{name}", n, "sample")
     cells = side("barcodes", "c", F.col("cell"))
     genes = side("features", "g", F.concat_ws("\t", F.concat(F.lit("ID"), F.col("g").cast("string")), "gene"))
-    return _r(matrix_files.read_mtx(spark, matrix, cells, genes, folder=matrix_files.SAMPLE_FOLDER), "value", digits=2).select("sample", "cell_id", "gene_id", "value")
+    return matrix_files.read_mtx(spark, matrix, cells, genes, folder=matrix_files.SAMPLE_FOLDER).select("sample", "cell_id", "gene_id", F.col("value").cast("double").alias("value"))
 
 
 @query("""c as (select p_brand gene_id, p_type cell_id, count(*)::float v from part group by all) select cell_id, gene_id, v as "value" from c""")
@@ -122,7 +123,7 @@ def marker_file(spark, d):
     return _r(matrix_files.read_markers(spark, path, 5), "scores", digits=4).select("group", "names", "scores", F.col("rank").cast("bigint").alias("rank"))
 
 
-@query("""s as (select vec_id::varchar spot, embedding[1] x, embedding[2] y from embeddings) select spot cell_id, round(x::double, 5) px, round(y::double, 5) py from s""")
+@query("""s as (select vec_id::varchar spot, embedding[1] x, embedding[2] y from embeddings) select spot cell_id, x::double px, y::double py from s""")
 def spot_positions(spark, d):
     """Positions of spots from the metadata of a slide."""
     e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("spot"), F.col("embedding")[0].alias("pixel_x"), F.col("embedding")[1].alias("pixel_y"))
@@ -130,7 +131,7 @@ def spot_positions(spark, d):
     e.coalesce(1).write.option("header", True).csv(f"{root}/meta")
     table(spark, d, "region").select(F.col("r_name").alias("gene"), F.lit(1).alias("s0")).coalesce(1).write.option("header", True).csv(f"{root}/counts")
     _, obs = matrix_files.read_spots(spark, f"{root}/counts", f"{root}/meta")
-    return obs.select("cell_id", F.round(F.col("spatial")[0], 5).alias("px"), F.round(F.col("spatial")[1], 5).alias("py"))
+    return obs.select("cell_id", *[F.col("spatial")[i].cast("float").cast("double").alias(n) for i, n in enumerate(("px", "py"))])
 
 
 @query("""e as (select distinct sample_id, trim(label) "label", trim(species) species from sample_entry where sample_id is not null and trim(sample_id) <> '' and "label" is not null and species is not null)
