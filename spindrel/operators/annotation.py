@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from spindrel.functions.text import label_key
 from spindrel.operators import stats
 from spindrel.operators.knowledge import confidence, consensus, evidence_class
+from spindrel.runtime import filled, fold
 
 # Names of genes that say nothing about a type, weights and ranks of levels, limits of decisions.
 MITOCHONDRIAL = ("MT-",)
@@ -187,6 +188,35 @@ def harmonised(labels: DataFrame, label: str, types: DataFrame, n_markers: DataF
     return given.select("label").join(two, "label", "left").select("label", chosen.alias("type_key"))
 
 
+def standardised(names: DataFrame, name: str, types: DataFrame, ratio: float = 0.85) -> DataFrame:
+    """``name, type_key, tier, confidence``: the entry a name means, by the first of six tiers that finds one.
+
+    1: its key; 2: its display name, whatever the letter case; 3: a synonym; 4: one holds the other, from three letters on; 5: the most
+    alike by edit distance above ``ratio``; 6: none, and the name stays as it is. Of several, display names go before synonyms,
+    then by key. ``types(type_key, display_name, synonyms)``. Names and entries are compared only if they share three letters in a row,
+    as all pairs of tiers 4 and 5 do.
+    """
+    given = names.select(F.col(name).alias("name")).where(filled("name")).distinct().withColumn("low", fold("name"))
+    display = types.select("type_key", F.lower("display_name").alias("text"), F.lit(0).alias("kind"))
+    synonym = types.select("type_key", F.explode("synonyms").alias("s")).select("type_key", F.lower("s").alias("text"), F.lit(1).alias("kind"))
+    keys = types.select("type_key", F.lower("type_key").alias("text"), F.lit(2).alias("kind"))
+    entries = display.unionByName(synonym).unionByName(keys).where("text is not null and text <> ''").distinct()
+    one = given.join(types.select("type_key").distinct(), F.col("name") == F.col("type_key")).select("name", F.lit(1).alias("tier"), F.lit(0).alias("kind"), F.lit(0.0).alias("miss"), "type_key")
+    same = given.join(entries.where("kind < 2"), F.col("low") == F.col("text")).select("name", (F.col("kind") + 2).alias("tier"), "kind", F.lit(0.0).alias("miss"), "type_key")
+    rest = given.join(one.unionByName(same).select("name").distinct(), "name", "left_anti").where(F.length("low") >= 3)
+    grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(c, i, F.lit(3))))).alias("gram")
+    near = rest.select("name", "low", grams("low")).join(entries.where(F.length("text") >= 3).select("*", grams("text")), "gram").drop("gram").distinct()
+    within = F.col("low").contains(F.col("text")) | F.col("text").contains(F.col("low"))
+    four = near.where(within & (F.col("kind") < 2)).select("name", F.lit(4).alias("tier"), "kind", F.lit(0.0).alias("miss"), "type_key")
+    miss = F.levenshtein("low", "text") / F.greatest(F.length("low"), F.length("text"))
+    five = near.withColumn("miss", miss).where(F.col("miss") < 1 - ratio).select("name", F.lit(5).alias("tier"), F.lit(0).alias("kind"), F.round("miss", 9).alias("miss"), "type_key")
+    best = F.min(F.struct("tier", "kind", "miss", "type_key"))
+    found = one.unionByName(same).unionByName(four).unionByName(five).groupBy("name").agg(best.alias("b"))
+    tier = F.coalesce("b.tier", F.lit(6))
+    level = F.when(tier <= 3, "high").when(tier <= 5, "medium").otherwise("low")
+    return given.join(found, "name", "left").select("name", F.coalesce("b.type_key", "name").alias("type_key"), tier.alias("tier"), level.alias("confidence"))
+
+
 def category_markers(members: DataFrame, kb: DataFrame, least: int = 3) -> DataFrame:
     """``category, gene, rank``: genes that half of a category's members have, the first 3; else those of 30 %.
 

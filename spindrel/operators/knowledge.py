@@ -81,12 +81,12 @@ def fired_rules(markers: DataFrame, rules: DataFrame) -> DataFrame:
     A rule fires if every present gene is a marker with at least its fold change and no absent gene is one.
     """
     need = rules.select("rule_id", F.size("present").alias("__need"), F.explode("present").alias("gene", "least"))
-    held = markers.groupBy("cluster", "gene").agg(F.max("logfc").alias("logfc")).join(F.broadcast(need), "gene").where("logfc >= least")
+    held = markers.groupBy("cluster", "gene").agg(F.max("logfc").alias("logfc")).join(need, "gene").where("logfc >= least")
     full = held.groupBy("cluster", "rule_id").agg(F.count(F.lit(1)).alias("n"), F.max("__need").alias("need")).where("n = need")
     banned = rules.select("rule_id", F.explode("absent").alias("gene"))
-    blocked = markers.join(F.broadcast(banned), "gene").select("cluster", "rule_id").distinct()
+    blocked = markers.join(banned, "gene").select("cluster", "rule_id").distinct()
     order = Window.partitionBy("cluster").orderBy(F.desc("priority"), "rule_id")
-    out = full.join(blocked, ["cluster", "rule_id"], "left_anti").join(F.broadcast(rules.select("rule_id", "priority", "action")), "rule_id")
+    out = full.join(blocked, ["cluster", "rule_id"], "left_anti").join(rules.select("rule_id", "priority", "action"), "rule_id")
     return out.withColumn("__k", F.row_number().over(order)).where("__k = 1").select("cluster", "rule_id", "priority", "action")
 
 

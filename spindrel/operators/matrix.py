@@ -96,7 +96,7 @@ def score_set(x: DataFrame, n_cells: int, genes: list[str], bins: int = 25) -> D
     n_set, n_control = (F.sum(F.col("in_set").cast("int")), F.sum((~F.col("in_set")).cast("int")))
     sizes = chosen.agg(n_set.alias("n_set"), n_control.alias("n_control"))
     part = lambda flag, n: F.coalesce(F.try_divide(F.sum(F.when(flag, v()).otherwise(0.0)), F.max(n)), F.lit(0.0))
-    return x.join(F.broadcast(chosen), "gene_id").crossJoin(F.broadcast(sizes)).groupBy("cell_id").agg(
+    return x.join(chosen, "gene_id").crossJoin(F.broadcast(sizes)).groupBy("cell_id").agg(
         (part(F.col("in_set"), "n_set") - part(~F.col("in_set"), "n_control")).alias("score")
     )
 
@@ -131,6 +131,32 @@ def regress_out(x: DataFrame, covariate: DataFrame) -> DataFrame:
     return joined.join(lines, "gene_id").select("cell_id", "gene_id", (v() - F.col("intercept") - F.col("slope") * F.col("c")).alias("residual"))
 
 
+def _selected(x: DataFrame, cells: DataFrame, genes: list[str]) -> DataFrame:
+    """``cell_id, gene_id, value`` for every cell and each of a few selected genes, zeros included."""
+    grid = cells.select("cell_id").withColumn("gene_id", F.explode(F.array(*[F.lit(g) for g in genes]).cast("array<string>")))
+    own = x.where(F.col("gene_id").isin(genes)).select("cell_id", "gene_id", v().alias("value"))
+    return grid.join(own, ["cell_id", "gene_id"], "left").na.fill(0.0, ["value"])
+
+
+def selected_residuals(x: DataFrame, cells: DataFrame, genes: list[str], theta: float = 100.0, clip: float | None = None) -> DataFrame:
+    """Analytic residuals of a few genes in every cell, those without a stored value included; a cell without counts has 0."""
+    per_cell = x.groupBy("cell_id").agg(F.sum(v()).alias("__cell"))
+    genes_ = x.where(F.col("gene_id").isin(genes)).groupBy("gene_id").agg(F.sum(v()).alias("__gene"))
+    total = x.agg(F.sum(v()).alias("__total"))
+    j = _selected(x, cells, genes).join(per_cell, "cell_id", "left").join(genes_, "gene_id", "left").crossJoin(F.broadcast(total))
+    mu = F.coalesce(F.try_divide(F.col("__cell") * F.col("__gene"), "__total"), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("value") - mu, F.sqrt(mu + mu * mu / theta)), F.lit(0.0))
+    return j.select("cell_id", "gene_id", (F.greatest(F.least(r, F.lit(clip)), F.lit(-clip)) if clip else r).alias("residual"))
+
+
+def selected_regressed(x: DataFrame, covariate: DataFrame, genes: list[str]) -> DataFrame:
+    """Residuals of a few genes in every cell of ``covariate(cell_id, c)`` after the line on it, zeros included."""
+    full = _selected(x, covariate, genes).join(covariate, "cell_id")
+    lines = full.groupBy("gene_id").agg(F.regr_slope("value", "c").alias("slope"), F.avg("value").alias("mv"), F.avg("c").alias("mc"))
+    slope = F.coalesce("slope", F.lit(0.0))
+    return full.join(lines, "gene_id").select("cell_id", "gene_id", (F.col("value") - F.col("mv") - slope * (F.col("c") - F.col("mc"))).alias("residual"))
+
+
 def repaired(df: DataFrame, columns: list[str]) -> DataFrame:
     """NaN and infinities become 0; ``n_repaired`` counts them per row."""
     bad = {c: F.isnan(c) | (F.abs(F.col(c)) == float("inf")) for c in columns}

@@ -38,7 +38,7 @@ def contact_enrichment(edges: DataFrame, labels: DataFrame) -> DataFrame:
 def moran_test(values: DataFrame, edges: DataFrame) -> DataFrame:
     """``feature, moran, expected, z`` under all permutations of the values; ``values(id, feature, v)``, ``edges(src, dst, w)`` both ways."""
     n = values.groupBy("feature").agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("v").alias("mean"))
-    z = values.join(F.broadcast(n.select("feature", "mean")), "feature").select("id", "feature", (F.col("v") - F.col("mean")).alias("z"))  # one row a feature
+    z = values.join(n.select("feature", "mean"), "feature").select("id", "feature", (F.col("v") - F.col("mean")).alias("z"))
     own = z.groupBy("feature").agg(F.sum(F.pow("z", F.lit(2))).alias("m2"), F.sum(F.pow("z", F.lit(4))).alias("m4"))
     a, b = z.select(F.col("id").alias("src"), "feature", F.col("z").alias("za")), z.select(F.col("id").alias("dst"), "feature", F.col("z").alias("zb"))
     cross = edges.join(a, "src").join(b, ["dst", "feature"]).groupBy("feature").agg(F.sum(F.col("w") * F.col("za") * F.col("zb")).alias("num"))
@@ -62,7 +62,7 @@ def interaction_test(x: DataFrame, labels: DataFrame, pairs: DataFrame) -> DataF
     cells = labels.agg(F.count(F.lit(1)).cast("double").alias("t"))
     sizes = labels.groupBy("grp").agg(F.count(F.lit(1)).cast("double").alias("n"))
     used = pairs.select(F.explode(F.array("ligand", "receptor")).alias("gene")).distinct()
-    own = x.join(F.broadcast(used), "gene").join(labels, "cell_id")  # as many genes as the pairs have
+    own = x.join(used, "gene").join(labels, "cell_id")
     per = own.groupBy("grp", "gene").agg(F.sum(v()).alias("s"))
     whole = own.groupBy("gene").agg(F.sum(v()).alias("s"), F.sum(v() * v()).alias("q"))
     left = pairs.join(own.select("cell_id", F.col("gene").alias("ligand"), v().alias("vl")), "ligand")

@@ -55,6 +55,25 @@ def mad_limits(metrics: DataFrame, column: str, k: float, floor: float | None =
     )
 
 
+def adaptive_limits(metrics: DataFrame, column: str, k: float, hard_low: float, hard_high: float | None = None, spread: float = 2000.0, reliable: float = 1500.0) -> DataFrame:
+    """Limits by deviations from the median, or the hard ones where those cannot be relied upon; one row.
+
+    They cannot if the middle 80 % are wider than ``spread`` while the median is below ``reliable``. The lower limit is never above the
+    hard one, the upper one not above ``hard_high``.
+    """
+    values = checkpoint(metrics.select(column))
+    p10, median, p90 = stats.quantiles(values, column, [0.1, 0.5, 0.9])
+    (mad,) = stats.quantiles(values.select(F.abs(F.col(column) - F.lit(median)).alias("off")), "off", [0.5])
+    row = metrics.sparkSession.range(1).select(*[F.lit(x).cast("double").alias(n) for n, x in (("p10", p10), ("median", median), ("p90", p90), ("mad", mad))])
+    row = row.withColumn("mad", F.col("mad") * SIGMA).withColumn("fallback", (F.col("p90") - F.col("p10") > spread) & (F.col("median") < reliable))
+    low, high = F.greatest(F.col("median") - k * F.col("mad"), F.lit(0.0)), F.col("median") + k * F.col("mad")
+    top = F.lit(hard_high).cast("double")
+    return row.select(
+        "median", "fallback", F.when(F.col("fallback"), F.lit(float(hard_low))).otherwise(F.least(low, F.lit(float(hard_low)))).alias("low"),
+        F.when(F.col("fallback"), top).otherwise(F.least(high, F.coalesce(top, high))).alias("high"),
+    )
+
+
 def keep_genes(x: DataFrame, kept: DataFrame, min_cells: int) -> DataFrame:
     """Rows of kept cells and of genes above zero in at least ``min_cells`` of them."""
     rows = x.join(kept.select("cell_id"), "cell_id", "left_semi")

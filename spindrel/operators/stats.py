@@ -130,6 +130,24 @@ def spearman(df: DataFrame, a: str, b: str, *by: str) -> DataFrame:
     return ranked.groupBy(*by).agg(correlation("ra", "rb").alias("rho"), F.count(F.lit(1)).alias("n"))
 
 
+def sparse_spearman(x: DataFrame, covariate: DataFrame) -> DataFrame:
+    """``gene_id, n, rho``: rank correlation of each gene with a covariate over all its cells, zeros included.
+
+    ``x(cell_id, gene_id, value)`` has no negative values, ``covariate(cell_id, t)`` every cell once. The zeros of a gene are one block of
+    ties at the bottom, whose part of the sums follows from the totals, so nothing is made dense. Null where one side is constant.
+    """
+    ranked = checkpoint(covariate.where("t is not null").select("cell_id", midrank("t").alias("rt")))
+    total = ranked.agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("rt").alias("st"), F.sum(F.col("rt") * F.col("rt")).alias("qt"))
+    stored = x.where("value > 0").join(ranked, "cell_id").select("gene_id", "rt", midrank("value", "gene_id").alias("k"))
+    per = stored.groupBy("gene_id").agg(
+        F.count(F.lit(1)).cast("double").alias("m"), F.sum("k").alias("sk"), F.sum(F.col("k") * F.col("k")).alias("qk"), F.sum(F.col("k") * F.col("rt")).alias("skt"), F.sum("rt").alias("sm")
+    ).crossJoin(F.broadcast(total)).withColumn("z", F.expr("n - m")).withColumn("r0", F.expr("(1 + z) / 2"))
+    # A stored value's rank is the number of zeros and its rank among the stored ones.
+    sx, qx, sxt = F.expr("sk + m * z + z * r0"), F.expr("qk + 2 * z * sk + m * z * z + z * r0 * r0"), F.expr("skt + z * sm + r0 * (st - sm)")
+    spread = (F.col("n") * qx - sx * sx) * F.expr("n * qt - st * st")
+    return per.select("gene_id", F.col("n").cast("bigint").alias("n"), ((F.col("n") * sxt - sx * F.col("st")) / F.sqrt(F.when(spread > 0, spread))).alias("rho"))
+
+
 def anova_r2(long: DataFrame, label: str, component: str = "pc", value: str = "v") -> DataFrame:
     """Share of each component's variance between labels; 0 where there is no variance."""
     groups = long.groupBy(component, label).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"), F.sum(F.col(value) * F.col(value)).alias("q"))

@@ -200,3 +200,30 @@ def top_genes_per_group(spark, d):
     order = Window.partitionBy("grp").orderBy(F.desc(F.round("mean", 9)), "gene_id")
     top = means.withColumn("rank", F.row_number().over(order).cast("bigint")).where("rank <= 5")
     return _round(top, "mean")
+
+
+_CHOSEN = ["Brand#1", "Brand#2", "Brand#12"]
+
+
+@query("""c as (select cell_id, sum("value")::double s from x group by 1), g as (select gene_id, sum("value")::double t from x where gene_id in ('Brand#1', 'Brand#2', 'Brand#12') group by 1), a as (select sum("value")::double z from x),
+  e as (select o.cell_id, g.gene_id, coalesce(x."value", 0) v, coalesce(s, 0) * t / z mu from obs o cross join g cross join a left join c using (cell_id) left join x on x.cell_id = o.cell_id and x.gene_id = g.gene_id)
+  select cell_id, gene_id, round(case when mu > 0 then greatest(least((v - mu) / sqrt(mu + mu * mu / 100), 10), -10) else 0 end, 6) + 0.0 residual from e""")
+def selected_residuals(spark, d):
+    """Residuals of three genes in every order, with and without them."""
+    out = matrix.selected_residuals(roles.counts(spark, d), roles.cells(spark, d), _CHOSEN, clip=10.0)
+    return _round(out, "residual").withColumn("residual", F.col("residual") + F.lit(0.0))
+
+
+@query("""e as (select o.cell_id, g.gene_id, coalesce(x."value", 0)::double v, price c from obs o cross join (select unnest(['Brand#1', 'Brand#2', 'Brand#12']) gene_id) g left join x on x.cell_id = o.cell_id and x.gene_id = g.gene_id),
+  l as (select gene_id, regr_slope(v, c) b, avg(v) mv, avg(c) mc from e group by 1) select cell_id, gene_id, round(v - mv - b * (c - mc), 4) + 0.0 residual from e join l using (gene_id)""")
+def selected_regressed(spark, d):
+    """Residuals of three genes on the price of every order."""
+    covariate = roles.cells(spark, d).select("cell_id", F.col("price").alias("c"))
+    return matrix.selected_regressed(roles.counts(spark, d), covariate, _CHOSEN).withColumn("residual", F.round("residual", 4) + F.lit(0.0))
+
+
+@query("""o as (select n_genes_by_counts::double v from obs_annotated where n_genes_by_counts is not null), m as (select median(v) md, quantile_cont(v, 0.1) a, quantile_cont(v, 0.9) b from o), d as (select median(abs(v - md)) * 1.482602218505602 mad from o, m)
+  select md median, b - a > 2000 and md < 1500 fallback, round(case when b - a > 2000 and md < 1500 then 200.0 else least(greatest(md - 3 * mad, 0), 200.0) end, 6) low, round(case when b - a > 2000 and md < 1500 then 9000.0 else least(md + 3 * mad, 9000.0) end, 6) high from m, d""", prelude="with ")
+def adaptive_limits(spark, d):
+    """Limits of the number of genes, adaptive where that can be relied upon."""
+    return _round(quality.adaptive_limits(roles.table(spark, d, "obs_annotated"), "n_genes_by_counts", 3, 200.0, 9000.0), "low", "high")

@@ -181,3 +181,12 @@ def overrepresentation(spark, d):
     groups = rows.where("group_label is not null").groupBy("dataset_id", "group_label").agg(F.countDistinct("names").cast("int").alias("marked"), high.alias("hits"))
     out = groups.join(whole, "dataset_id").withColumn("p", F.round(stats.hypergeometric_tail("hits", "marked", "drawn", "total"), 7))
     return out.select("dataset_id", "group_label", "hits", "marked", "drawn", "total", "p")
+
+
+@query("""g as (select distinct gene_id from x), e as (select g.gene_id, coalesce(x."value", 0) v, price t from obs o cross join g left join x on x.cell_id = o.cell_id and x.gene_id = g.gene_id),
+ r as (select gene_id, rank() over (partition by gene_id order by v) + (count(*) over (partition by gene_id, v) - 1) / 2.0 a, rank() over (partition by gene_id order by t) + (count(*) over (partition by gene_id, t) - 1) / 2.0 b from e)
+ select gene_id, count(*) n, round(corr(a, b), 6) + 0.0 rho from r group by 1""")
+def pseudotime_genes(spark, d):
+    """Rank correlation of every gene with an order of the cells, zeros included."""
+    order = roles.cells(spark, d).select("cell_id", F.col("price").alias("t"))
+    return _r(stats.sparse_spearman(roles.counts(spark, d), order), "rho")
