@@ -211,7 +211,7 @@ def prose_mask(ids: np.ndarray, structured: np.ndarray, bonus: np.ndarray, doc:
         sentence = (
             (share(form["word"]) >= WORDLIKE) & ((short >= SHORT_LOW) | (share(form["stop"]) >= STOPS)) & (short <= SHORT_HIGH) & (share(form["long"]) >= LONG_LOW)
             & (distinct >= DISTINCT * expected) & (share(form["digit"]) <= DIGITS) & (share(form["comma"]) <= COMMAS)
-            & (share(form["symbol"]) <= SYMBOLS) & (share(form["line"]) <= LINES) & (share(form["stop"]) > 0)
+            & (share(form["symbol"]) <= SYMBOLS) & (share(form["line"]) <= LINES) & ((share(form["stop"]) > 0) | (rate >= RATE_LOW / 2))
             & (share(structured) == 0) & (rate <= RATE_HIGH) & (width >= 6)
         )
         mask |= sentence
