@@ -209,7 +209,7 @@ def standardised(names: DataFrame, name: str, types: DataFrame, ratio: float = 0
     within = F.col("low").contains(F.col("text")) | F.col("text").contains(F.col("low"))
     four = near.where(within & (F.col("kind") < 2)).select("name", F.lit(4).alias("tier"), "kind", F.lit(0.0).alias("miss"), "type_key")
     miss = F.levenshtein("low", "text") / F.greatest(F.length("low"), F.length("text"))
-    five = near.withColumn("miss", miss).where(F.col("miss") < 1 - ratio).select("name", F.lit(5).alias("tier"), F.lit(0).alias("kind"), F.round("miss", 9).alias("miss"), "type_key")
+    five = near.withColumn("miss", miss).where(1 - F.col("miss") > ratio).select("name", F.lit(5).alias("tier"), F.lit(0).alias("kind"), F.round("miss", 9).alias("miss"), "type_key")
     best = F.min(F.struct("tier", "kind", "miss", "type_key"))
     found = one.unionByName(same).unionByName(four).unionByName(five).groupBy("name").agg(best.alias("b"))
     tier = F.coalesce("b.tier", F.lit(6))

@@ -295,7 +295,7 @@ def retried_scores(spark, d):
  en as (select type_key, lower(display_name) tx, 0 kd from kb_type union select type_key, lower(s), 1 from (select type_key, unnest(synonyms) s from kb_type) union select type_key, lower(type_key), 2 from kb_type),
  a as (select nm, 1 tier, 0 kd, 0.0::double ms, type_key from g join kb_type on type_key = nm union all select nm, kd + 2, kd, 0.0, type_key from g join en on tx = lo and kd < 2), r as (select * from g where nm not in (select nm from a) and length(lo) >= 3),
  b as (select nm, 4, kd, 0.0::double, type_key from r join en on kd < 2 and length(tx) >= 3 and (contains(lo, tx) or contains(tx, lo)) union all
-  select nm, 5, 0, round(levenshtein(regexp_replace(lo, '[^\\x01-\\x7f]', '#', 'g'), tx)::double / greatest(length(lo), length(tx)), 9), type_key from r join en on length(tx) >= 3 and abs(length(lo) - length(tx)) < 0.15 * greatest(length(lo), length(tx)) and levenshtein(regexp_replace(lo, '[^\\x01-\\x7f]', '#', 'g'), tx) / greatest(length(lo), length(tx)) < 1 - 0.85::double),
+  select nm, 5, 0, round(levenshtein(regexp_replace(lo, '[^\\x01-\\x7f]', '#', 'g'), tx)::double / greatest(length(lo), length(tx)), 9), type_key from r join en on length(tx) >= 3 and abs(length(lo) - length(tx)) < 0.15 * greatest(length(lo), length(tx)) and 1 - levenshtein(regexp_replace(lo, '[^\\x01-\\x7f]', '#', 'g'), tx)::double / greatest(length(lo), length(tx)) > 0.85::double),
  u as (select * from a union all select * from b), t as (select nm, tier, type_key from u qualify row_number() over (partition by nm order by tier, kd, ms, type_key) = 1)
  select nm as "name", coalesce(type_key, nm) type_key, coalesce(tier, 6) tier, case when coalesce(tier, 6) <= 3 then 'high' when tier <= 5 then 'medium' else 'low' end confidence from g left join t using (nm)""")
 def standardised_names(spark, d):
