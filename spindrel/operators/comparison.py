@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from spindrel.runtime import checkpoint, task_count
 
-from spindrel.runtime import checkpoint
+#: Most genes of the vectors of one block.
+BLOCK = 1_000_000
 
 
 def top_sets(rows: DataFrame, n: int = 15, least: int = 3) -> DataFrame:
@@ -29,22 +39,61 @@ def idf_vectors(sets: DataFrame) -> DataFrame:
 
 
 def cosine_edges(vectors: DataFrame, least: float) -> DataFrame:
-    """Pairs ``a < b`` with a cosine of at least ``least``.
+    """Pairs ``a < b`` with a cosine of at least ``least`` (above 0).
 
-    Prefix filter: a vector's genes stand in one order, rare ones first, and only those before the point from
-    where the rest cannot reach ``least`` any more start a pair, so frequent genes start few.
+    Clusters are dealt to blocks by hash. Blocks are written to the checkpoint folder, from where every task reads two and
+    sums the common genes of their pairs, a million at a time: neither vectors in many copies nor pairs are shuffled.
     """
-    df = vectors.groupBy("gene").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("cluster").orderBy("df", "gene")
-    rest = F.sum(F.col("w") * F.col("w")).over(order.rowsBetween(0, Window.unboundedFollowing))
-    ranked = vectors.where("w > 0").join(df, "gene").withColumn("rest", F.sqrt(rest))
-    prefix = ranked.where(F.col("rest") >= least - 1e-12).select("cluster", "gene")
-    a, b = prefix.select(F.col("cluster").alias("a"), "gene"), prefix.select(F.col("cluster").alias("b"), "gene")
-    pairs = a.join(b, "gene").where("a < b").select("a", "b").distinct()
-    va = vectors.select(F.col("cluster").alias("a"), "gene", F.col("w").alias("wa"))
-    vb = vectors.select(F.col("cluster").alias("b"), "gene", F.col("w").alias("wb"))
-    dots = pairs.join(va, "a").join(vb, ["b", "gene"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
-    return dots.where(F.col("cosine") >= least)
+    kind = vectors.schema["cluster"].dataType
+    entries = F.sort_array(F.collect_list(F.struct("gene", "w")))
+    packed = vectors.where("w > 0 and cluster is not null and gene is not null").groupBy("cluster").agg(entries.alias("e"))
+    packed = checkpoint(packed.select("cluster", F.col("e.gene").alias("genes"), F.col("e.w").alias("ws")))
+    size = packed.agg(F.sum(F.size("genes"))).first()[0] or 0
+    # More pairs of blocks than shuffle tasks, unless the blocks become small by it.
+    blocks = max(1, math.ceil(size / BLOCK), min(math.ceil(math.sqrt(2 * task_count(vectors.sparkSession))), math.ceil(size / (BLOCK / 100))))
+    dealt = packed.groupBy(F.pmod(F.xxhash64("cluster"), F.lit(blocks)).cast("int").alias("own")).agg(F.collect_list(F.struct("cluster", "genes", "ws")).alias("block"))
+    dealt = checkpoint(dealt.repartitionById(blocks, F.col("own")))
+    low, high = (dealt.select(F.col("own").alias(f"own_{x}"), F.col("block").alias(x)) for x in ("low", "high"))
+    met = low.join(high.hint("shuffle_replicate_nl"), F.col("own_low") <= F.col("own_high"))
+    schema = StructType([StructField("a", kind), StructField("b", kind), StructField("cosine", DoubleType())])
+    found = met.mapInArrow(lambda batches: (e for x in batches for k in range(x.num_rows) for e in _block_edges(x.slice(k, 1), least)), schema)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cosine")
+
+
+def _block_edges(pair: pa.RecordBatch, least: float, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Edges between the vectors of two blocks, or among those of a block that meets itself; about ``most`` products are held at once."""
+    apart = pair["own_low"][0].as_py() != pair["own_high"][0].as_py()
+    parts = [pair[x].flatten().flatten() for x in ("low", "high")[: 1 + apart]]
+    names, genes, ws = (pa.concat_arrays(x) for x in zip(*parts, strict=True))
+    n, side = len(names), np.repeat([-1, 1] if apart else [0], [len(x[0]) for x in parts])
+    gene = genes.flatten().dictionary_encode().indices.to_numpy().astype("int64")
+    w, row = ws.flatten().to_numpy(), np.repeat(np.arange(n), pc.list_value_length(genes).to_numpy())
+    held = np.flatnonzero(side[row] >= 0)  # by gene, and by row within it
+    held = held[np.argsort(gene[held], kind="stable")]
+    meets = np.bincount(gene[held], minlength=gene.max() + 1)
+    begin = np.cumsum(meets) - meets
+    asks = np.flatnonzero(side[row] <= 0)
+    times = meets[gene[asks]]
+    total = np.cumsum(times)
+    last = np.flatnonzero(np.diff(row[asks], append=-1)) + 1  # the rows' ends in asks: a row is not divided
+    sums = total[last - 1]
+    at = done = 0
+    while at < len(asks):
+        to = last[max(np.searchsorted(sums, done + most, side="right") - 1, np.searchsorted(last, at, side="right"))]
+        k = times[at:to]
+        first = np.repeat(asks[at:to], k)
+        second = held[np.arange(len(first)) + np.repeat(begin[gene[asks[at:to]]] - (np.cumsum(k) - k), k)]
+        at, done = to, total[to - 1]
+        key = row[first] * n + row[second]
+        kept = np.flatnonzero((row[first] < row[second]) | (side[row[first]] < 0))
+        kept = kept[np.argsort(key[kept], kind="stable")]
+        if not len(kept):
+            continue
+        key = key[kept]
+        new = np.flatnonzero(np.diff(key, prepend=-1))
+        cosine = np.add.reduceat(w[first[kept]] * w[second[kept]], new)
+        key, cosine = key[new][cosine >= least], cosine[cosine >= least]
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(key // n)), names.take(pa.array(key % n)), pa.array(cosine)], ["a", "b", "cosine"])
 
 
 def cosine_pairs(vectors: DataFrame, least: float) -> DataFrame:

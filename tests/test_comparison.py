@@ -1,7 +1,10 @@
+import itertools
 from collections import defaultdict
 
 import __spark_entry__ as entry
 import duckdb
+import pyarrow as pa
+import pytest
 from conftest import DATA
 
 from spindrel.operators import comparison
@@ -30,3 +33,40 @@ def test_clusters_of_low_scores_are_kept(spark):
     got = {r["cluster"]: r["count"] for r in entry.queries()["gene_set_vectors"](spark, DATA).groupBy("cluster").count().collect()}
     assert got == {cluster: n for cluster, n, _ in sizes}
     assert {r["node"] for r in entry.queries()["cluster_communities"](spark, DATA).collect()} == set(got)
+
+
+def shuffled(spark, work):
+    """What ``work`` returns, and the bytes that it writes to shuffle files."""
+    sc = spark.sparkContext._jsc.sc()
+
+    def so_far():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        every = sc.statusStore().executorList(False)
+        return sum(every.apply(k).totalShuffleWrite() for k in range(every.size()))
+
+    before = so_far()
+    return work(), so_far() - before
+
+
+def test_pairs_of_clusters_are_not_shuffled(spark):
+    own = {f"c{i:04}": {f"g{i % 40 + k}": (1 + k) / 60**0.5 for k in range(5)} | {"all": (5 / 60) ** 0.5} for i in range(1200)}
+    vectors = spark.createDataFrame([(c, g, w) for c, genes in own.items() for g, w in genes.items()], "cluster string, gene string, w double")
+    got, size = shuffled(spark, lambda: {(r["a"], r["b"]): r["cosine"] for r in comparison.cosine_edges(vectors, 0.25).collect()})
+    dots = {(a, b): sum(w * own[b].get(g, 0.0) for g, w in own[a].items()) for a, b in itertools.combinations(own, 2)}
+    assert got == pytest.approx({k: d for k, d in dots.items() if d >= 0.25}) and 4000 < len(got) < len(dots) == 719_400
+    assert size < 240_000, size  # 339,103 when pairs were shuffled
+
+
+@pytest.mark.parametrize("most", [1, 7, 10_000])
+@pytest.mark.parametrize("apart", [False, True])
+def test_block_edges_of_any_portion(apart, most):
+    own = [(f"c{i}", [f"g{i * k % 11}" for k in range(1, 5)], [1.0 * k for k in range(1, 5)]) for i in range(1, 21)]
+    blocks = (own[:12], own[12:]) if apart else (own, own)
+    kind = pa.list_(pa.struct({"cluster": pa.string(), "genes": pa.list_(pa.string()), "ws": pa.list_(pa.float64())}))
+    low, high = (pa.array([[{"cluster": c, "genes": g, "ws": w} for c, g, w in x]], kind) for x in blocks)
+    pair = pa.record_batch({"own_low": pa.array([0]), "low": low, "own_high": pa.array([int(apart)]), "high": high})
+    found = [r for part in comparison._block_edges(pair, 5.0, most) for r in part.to_pylist()]
+    dot = lambda x, y: sum(v * w for g, v in zip(*x[1:], strict=True) for h, w in zip(*y[1:], strict=True) if g == h)
+    pairs = itertools.product(*blocks) if apart else itertools.combinations(own, 2)
+    due = {(x[0], y[0]): d for x, y in pairs if (d := dot(x, y)) >= 5.0}
+    assert len(found) == len(due) > 0 and {(r["a"], r["b"]): r["cosine"] for r in found} == pytest.approx(due)
