@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -104,13 +105,35 @@ def cosine_pairs(vectors: DataFrame, least: float) -> DataFrame:
     return dots.where(F.col("cosine") >= least)
 
 
+def _stars(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges that connect the same nodes as those of one task, each node to the root of its part: fewer than nodes."""
+    up: dict = {}
+
+    def root(x):
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    for own in batches:
+        for u, v in zip(own["u"].tolist(), own["v"].tolist(), strict=True):
+            u, v = root(u), root(v)
+            up[max(u, v)] = min(u, v)
+    nodes = list(up)
+    for k in range(0, len(nodes), 10_000):
+        part = nodes[k : k + 10_000]
+        yield pd.DataFrame({"u": [root(x) for x in part], "v": part})
+
+
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """``node, component`` (its smallest node): large-star and small-star rounds until nothing changes.
 
-    Each round is written to the checkpoint folder. Stars halve paths, so rounds grow with the log of the longest.
+    Of its edges each task first keeps what connects the same nodes. Each round is written to the checkpoint folder.
+    Stars halve paths, so rounds grow with the log of the longest.
     Labels that still change after ``most_rounds`` are not returned; it fails.
     """
-    e = checkpoint(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct())
+    ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
+    ends = ends.mapInPandas(_stars, ends.schema).where("u <> v")
+    e = checkpoint(ends.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
     before = mark(e)  # distinct edges are the same if their number and two sums of hashes are
     for _ in range(most_rounds):

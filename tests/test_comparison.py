@@ -70,3 +70,12 @@ def test_block_edges_of_any_portion(apart, most):
     pairs = itertools.product(*blocks) if apart else itertools.combinations(own, 2)
     due = {(x[0], y[0]): d for x, y in pairs if (d := dot(x, y)) >= 5.0}
     assert len(found) == len(due) > 0 and {(r["a"], r["b"]): r["cosine"] for r in found} == pytest.approx(due)
+
+
+def test_edges_within_a_part_are_not_shuffled(spark):
+    edges = [(f"{part}{i:03}", f"{part}{k:03}") for part in "xy" for i, k in itertools.combinations(range(300), 2)]
+    nodes = spark.createDataFrame([(x,) for x in sorted({*itertools.chain(*edges), "z"})], "node string")
+    table = spark.createDataFrame(edges[::2] + [(b, a) for a, b in edges[1::2]], "a string, b string")
+    got, size = shuffled(spark, lambda: {r["node"]: r["component"] for r in comparison.components(nodes, table).collect()})
+    assert got == {r["node"]: "z" if r["node"] == "z" else r["node"][0] + "000" for r in nodes.collect()}
+    assert size < 3 * len(edges), size
